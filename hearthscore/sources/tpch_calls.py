@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthscore.config import CHILDREN_COUNTS, CREDIT_MIDPOINTS, INCOME_MIDPOINTS
+from hearthscore.session import spread
 from hearthscore.sources.calls import MONEY
 
 TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -28,7 +29,7 @@ def _pick(index: Column, labels) -> Column:
 
 
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"))
     joined = (
         line.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
