@@ -17,6 +17,7 @@ TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 DENSE_PRODUCTS = tuple(t.lower() for t in TYPES)
 SPARSE_PRODUCTS = ("sparse_r", "sparse_a", "sparse_n")
 PRODUCTS = DENSE_PRODUCTS + SPARSE_PRODUCTS
+LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 COST_YEARS = tuple(range(1995, 2002))
 
 
@@ -29,7 +30,7 @@ def _pick(index: Column, labels) -> Column:
 
 
 def raw_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = spread(table(spark, sf_dir, "lineitem"))
+    line = spread(table(spark, sf_dir, "lineitem"), *LINE_KEYS)
     joined = (
         line.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
