@@ -60,7 +60,7 @@ def inertia(df: DataFrame, vector: str, label: str) -> float:
 def calinski_harabasz(df: DataFrame, vector: str, label: str) -> float:
     """Between-cluster over within-cluster variance, each per degree of freedom."""
     n, mean, squares = _moments(df, vector, label)
-    k, total = len(n), n.sum()
+    k, total = len(n), float(n.sum())
     centre = (n[:, None] * mean).sum(axis=0) / total
     between = float((n[:, None] * (mean - centre) ** 2).sum())
     within = float((squares - n[:, None] * mean**2).sum())
@@ -127,7 +127,7 @@ def score_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
     ]
     out = Pipeline(stages=stages).fit(df).transform(df)
-    # StandardScaler divides by the sample deviation.
+    # Spark's scaler divides by the sample deviation.
     factor = float(np.sqrt(n / (n - 1))) if n > 1 else 1.0
     scaled = F.transform(vector_to_array("_scaled"), lambda x: x * F.lit(factor))
     return out.withColumn("features", array_to_vector(scaled)).drop("_raw", "_scaled")

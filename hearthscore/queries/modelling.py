@@ -1 +1,121 @@
-"""Placeholder."""
+"""Model training, scoring and segmentation queries (checked by properties)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hearthscore.config import SHORT_RUN
+from hearthscore.operators import models as md
+from hearthscore.operators import segments as sg
+from hearthscore.operators.propensity import propensity_columns, score_products as apply_models
+from hearthscore.operators.recommend import long_scores
+from hearthscore.plans import stages as st
+from hearthscore.queries.catalog import calls, features, query
+from hearthscore.session import scratch_path, stage_table
+from hearthscore.sources import registry
+from hearthscore.sources import tpch_calls as src
+
+K = "household_key"
+PRODUCT = "medium"  # the most widely held product of the test tables
+
+
+def table(spark, sf_dir):
+    return stage_table(features(spark, sf_dir), "features")
+
+
+def _one_classifier(name: str):
+    def run(spark, sf_dir):
+        _, scored = md.train_product(
+            table(spark, sf_dir), PRODUCT, src.PRODUCTS, SHORT_RUN, [name]
+        )
+        return md.classification_summary(scored)
+
+    return run
+
+
+def _one_regressor(name: str):
+    def run(spark, sf_dir):
+        _, scored = md.train_cost_models(table(spark, sf_dir), src.PRODUCTS, SHORT_RUN, [name])
+        return md.regression_summary(scored)
+
+    return run
+
+
+query("train_gbt")(_one_classifier("boosted_trees"))
+query("train_forest")(_one_classifier("random_forest"))
+query("train_logistic")(_one_classifier("logistic_regression"))
+query("train_ridge")(_one_regressor("ridge"))
+query("train_huber")(_one_regressor("huber"))
+query("train_rf_regressor")(_one_regressor("random_forest"))
+query("train_gbt_regressor")(_one_regressor("gradient_boosting"))
+
+
+@query("classification_summary")
+def classification_summary(spark, sf_dir):
+    _, scored = md.train_all_products(table(spark, sf_dir), src.PRODUCTS, SHORT_RUN)
+    if scored is None:
+        return spark.createDataFrame([], "product string, model string, roc_auc double")
+    return md.classification_summary(scored)
+
+
+@query("regression_summary")
+def regression_summary(spark, sf_dir):
+    _, scored = md.train_cost_models(table(spark, sf_dir), src.PRODUCTS, SHORT_RUN)
+    return md.regression_summary(scored)
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    fitted, _ = md.train_product(
+        table(spark, sf_dir), PRODUCT, src.PRODUCTS, SHORT_RUN, ["random_forest", "logistic_regression"]
+    )
+    rows = [row for f in fitted for row in md.feature_importance(f, 20)]
+    return spark.createDataFrame(rows, md.IMPORTANCE_SCHEMA)
+
+
+def _trained(spark, sf_dir) -> str:
+    base = scratch_path(spark, "engine")
+    st.stage_preprocess(calls(spark, sf_dir), base, src.COST_YEARS)
+    st.stage_classify(spark, base, src.PRODUCTS, SHORT_RUN)
+    return base
+
+
+@query("model_registry")
+def model_registry(spark, sf_dir):
+    base = _trained(spark, sf_dir)
+    return registry.inventory(spark, f"{base}/registry").select(
+        "task", "target", "model", "feature_count", "metric", "validation"
+    )
+
+
+@query("score_products")
+def score_products(spark, sf_dir):
+    base = _trained(spark, sf_dir)
+    wide = apply_models(spark.read.parquet(f"{base}/households"), base)
+    return long_scores(wide, K, propensity_columns(wide))
+
+
+def _vectors(spark, sf_dir):
+    base = _trained(spark, sf_dir)
+    wide = stage_table(apply_models(spark.read.parquet(f"{base}/households"), base), "propensity")
+    return sg.score_vector(wide, list(propensity_columns(wide).values()))
+
+
+@query("kmeans_sweep")
+def kmeans_sweep(spark, sf_dir):
+    return sg.kmeans_sweep(_vectors(spark, sf_dir), K, SHORT_RUN)
+
+
+@query("segment_households")
+def segment_households(spark, sf_dir):
+    vectors = _vectors(spark, sf_dir)
+    s = SHORT_RUN
+    model = sg.fit_kmeans(vectors, s.segments, s.seed, s.segment_starts, s.segment_iterations)
+    return model.transform(vectors).select(K, "cluster")
+
+
+@query("run_stage")
+def run_stage(spark, sf_dir):
+    base = scratch_path(spark, "engine")
+    out = st.run_all(calls(spark, sf_dir), base, src.PRODUCTS, SHORT_RUN, src.COST_YEARS)
+    return out.select(K, "cluster", F.col("cluster_name"), "recommended_product")

@@ -37,8 +37,7 @@ def save_model(model: PipelineModel, base: str, task: str, target: str, name: st
 
 def register(spark: SparkSession, base: str, rows: list[dict]) -> None:
     stamp = datetime.now(UTC).isoformat()
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
-    names = [n.strip() for n in names]
+    names = [part.split()[0] for part in SCHEMA.split(",")]
     table = [tuple({"trained_at": stamp, **r}.get(n) for n in names) for r in rows]
     write_metadata(spark.createDataFrame(table, SCHEMA), f"{base}/registry")
 
