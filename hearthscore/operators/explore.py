@@ -344,12 +344,15 @@ def target_correlation(
     """Columns most correlated with the target; a high value hints at leakage."""
     others = [c for c in columns if c != target]
     base = df.select(
-        F.col(target).cast("double").alias("_t"), *[F.col(c).cast("double").alias(c) for c in others]
+        F.col(target).cast("double").alias("t"), *[F.col(c).cast("double").alias(c) for c in others]
     )
+    # Not corr(): it raises where a column is constant.
+    spread = F.stddev_pop("x") * F.stddev_pop("t")
     return (
-        base.unpivot(["_t"], others, "feature", "x")
+        base.unpivot(["t"], others, "feature", "x")
+        .filter("x is not null and t is not null")
         .groupBy("feature")
-        .agg(F.abs(F.corr("x", "_t")).alias("abs_corr"))
+        .agg(F.abs(F.try_divide(F.covar_pop("x", "t"), spread)).alias("abs_corr"))
         .filter("abs_corr is not null")
         .withColumn("suspicious", F.col("abs_corr") > limit)
         .orderBy(F.desc("abs_corr"), "feature")

@@ -135,7 +135,7 @@ def fit_matrix(train: DataFrame, drop: Sequence[str], first: Sequence = ()) -> P
 
 
 def feature_names(matrix: DataFrame, column: str = "features") -> list[str]:
-    """Names of the vector's slots, from its column metadata."""
+    """Names of the vector's slots, from its column metadata, without the step prefix."""
     groups = matrix.schema[column].metadata["ml_attr"]["attrs"].values()
     slots = sorted((a for g in groups for a in g), key=lambda a: a["idx"])
-    return [a["name"] for a in slots]
+    return [a["name"][2:] for a in slots]

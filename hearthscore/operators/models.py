@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -36,6 +35,9 @@ from hearthscore.operators.split import (
 from hearthscore.session import stage_table
 
 KEY = "household_key"
+SCORED_SCHEMA = (
+    "household_key bigint, product string, model string, split string, y int, p double, pred int"
+)
 log = logging.getLogger(__name__)
 
 
@@ -191,25 +193,27 @@ def train_product(
 
 def train_all_products(
     table: DataFrame, products: Sequence[str], settings: Settings
-) -> tuple[list[Fitted], DataFrame | None]:
+) -> tuple[list[Fitted], DataFrame]:
     """All classifiers of all modelable products, and their scored held-out rows.
 
     Products are fitted from a few driver threads: the fits are independent jobs
     and fill each other's gaps.
     """
+    spark = table.sparkSession
     chosen = sorted(r.product for r in modelable_products(table, products, settings).collect())
-    if not chosen:
-        return [], None
+    for product in sorted(set(products) - set(chosen)):
+        log.info("%s has too few holders to be modelled", product)
 
     def one(product: str):
         return train_product(table, product, products, settings)
 
-    spark = table.sparkSession
     with ThreadPoolExecutor(settings.fit_threads) as pool:
         results = list(pool.map(inheritable_thread_target(spark)(one), chosen))
     fitted = [f for models, _ in results for f in models]
     scored = [s for _, s in results if s is not None]
-    return fitted, reduce(DataFrame.unionByName, scored) if scored else None
+    if not scored:
+        return [], spark.createDataFrame([], SCORED_SCHEMA)
+    return fitted, reduce(DataFrame.unionByName, scored)
 
 
 def classification_summary(scored: DataFrame) -> DataFrame:
@@ -272,17 +276,24 @@ def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
 
 
 def huber(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
+    """Huber loss on cost in units of its deviation.
+
+    The loss scales with the target, so the unit only speeds up convergence; the
+    small penalty is adjusted to keep its strength.
+    """
     scaler = _scaler(train)
+    unit = train.agg(F.stddev_samp("target")).first()[0] or 1.0
+    ready = scaler.transform(train).withColumn("scaled_target", F.col("target") / F.lit(unit))
     model = LinearRegression(
         featuresCol="scaled",
-        labelCol="target",
+        labelCol="scaled_target",
         loss="huber",
         epsilon=s.huber_epsilon,
         maxIter=s.huber_iterations,
-        regParam=1e-4 / n,
+        regParam=1e-4 / n * unit,
         standardization=False,
-    ).fit(scaler.transform(train))
-    return [scaler, model, _to_cost("prediction")]
+    ).fit(ready)
+    return [scaler, model, _to_cost(f"prediction * {unit!r}D")]
 
 
 def cost_forest(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
@@ -365,7 +376,3 @@ def train_cost_models(
 
 def regression_summary(scored: DataFrame) -> DataFrame:
     return regression_scorecard(scored, ["model"]).orderBy("rmse", "model")
-
-
-def is_finite(value: float | None) -> bool:
-    return value is not None and math.isfinite(value)

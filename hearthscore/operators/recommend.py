@@ -36,6 +36,9 @@ def segments_by_tier(actions: DataFrame, tier: str | None = None) -> DataFrame:
 
 def long_scores(wide: DataFrame, key: str, score_columns: dict[str, str]) -> DataFrame:
     """(key, product, score) from one column per product."""
+    if not score_columns:
+        none = wide.limit(0).withColumns({"product": F.lit(""), "score": F.lit(0.0)})
+        return none.select(key, "product", "score")
     options = [
         F.struct(F.lit(p).alias("product"), F.col(c).cast("double").alias("score"))
         for p, c in score_columns.items()

@@ -143,23 +143,24 @@ def fit_kmeans(df: DataFrame, k: int, seed: int, starts: int, iterations: int):
 
 
 def kmeans_sweep(df: DataFrame, key: str, settings: Settings) -> DataFrame:
-    """Inertia, silhouette and Calinski-Harabasz for each number of clusters."""
-    df = df.select(key, "features").persist()
-    try:
-        rows = []
-        for k in settings.segment_range:
-            model = fit_kmeans(df, k, settings.seed, settings.sweep_starts, 300)
-            labelled = model.transform(df)
-            rows.append(
-                (
-                    k,
-                    float(model.summary.trainingCost),
-                    silhouette(labelled, "features", "cluster", key, settings.silhouette_sample, settings.seed),
-                    calinski_harabasz(labelled, "features", "cluster"),
-                )
+    """Inertia, silhouette and Calinski-Harabasz for each number of clusters.
+
+    ``df`` is read many times: persist it first.
+    """
+    rows = []
+    for k in settings.segment_range:
+        model = fit_kmeans(df, k, settings.seed, settings.sweep_starts, 300)
+        labelled = model.transform(df)
+        rows.append(
+            (
+                k,
+                float(model.summary.trainingCost),
+                silhouette(
+                    labelled, "features", "cluster", key, settings.silhouette_sample, settings.seed
+                ),
+                calinski_harabasz(labelled, "features", "cluster"),
             )
-    finally:
-        df.unpersist()
+        )
     schema = "k int, inertia double, silhouette double, calinski_harabasz double"
     return df.sparkSession.createDataFrame(rows, schema)
 

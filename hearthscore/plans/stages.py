@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hearthscore.config import Settings
 from hearthscore.operators import models as md
@@ -37,8 +36,6 @@ def stage_classify(
     """Train, evaluate and register the best classifier of every modelable product."""
     table = io.scan_parquet(spark, f"{base}/households")
     fitted, scored = md.train_all_products(table, products, settings)
-    if scored is None:
-        raise RuntimeError("no product has enough holders to be modelled")
     path = f"{base}/classification"
     io.write_parquet(md.classification_summary(scored), path)
     summary = io.scan_parquet(spark, path)
@@ -60,7 +57,8 @@ def stage_classify(
                     "feature_names": f.features,
                 }
             )
-    registry.register(spark, base, rows)
+    if rows:
+        registry.register(spark, base, rows)
     return summary
 
 
@@ -102,11 +100,18 @@ def stage_cluster(spark: SparkSession, base: str, settings: Settings) -> DataFra
     if len(scores) < 2:
         raise RuntimeError("segmentation needs the scores of at least two products")
     vectors = sg.score_vector(table, list(scores.values()))
-    sweep = sg.kmeans_sweep(vectors, KEY, settings)
-    io.write_parquet(sweep, f"{base}/sweep")
-    model = sg.fit_kmeans(
-        vectors, settings.segments, settings.seed, settings.segment_starts, settings.segment_iterations
-    )
+    points = vectors.select(KEY, "features").persist()
+    try:
+        io.write_parquet(sg.kmeans_sweep(points, KEY, settings), f"{base}/sweep")
+        model = sg.fit_kmeans(
+            points,
+            settings.segments,
+            settings.seed,
+            settings.segment_starts,
+            settings.segment_iterations,
+        )
+    finally:
+        points.unpersist()
     io.write_parquet(model.transform(vectors).drop("features"), f"{base}/segments")
     labelled = io.scan_parquet(spark, f"{base}/segments")
     profile = sg.profile_clusters(labelled, list(scores.values()))
@@ -136,7 +141,3 @@ def run_all(
     stage_regress(spark, base, products, settings)
     stage_cluster(spark, base, settings)
     return stage_recommend(spark, base)
-
-
-def distribution(recommended: DataFrame) -> DataFrame:
-    return recommended.groupBy("recommended_product").agg(F.count(F.lit(1)).alias("n"))

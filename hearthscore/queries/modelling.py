@@ -53,8 +53,6 @@ query("train_gbt_regressor")(_one_regressor("gradient_boosting"))
 @query("classification_summary")
 def classification_summary(spark, sf_dir):
     _, scored = md.train_all_products(table(spark, sf_dir), src.PRODUCTS, SHORT_RUN)
-    if scored is None:
-        return spark.createDataFrame([], "product string, model string, roc_auc double")
     return md.classification_summary(scored)
 
 
@@ -83,6 +81,7 @@ def _trained(spark, sf_dir) -> str:
 @query("model_registry")
 def model_registry(spark, sf_dir):
     base = _trained(spark, sf_dir)
+    st.stage_regress(spark, base, src.PRODUCTS, SHORT_RUN)
     return registry.inventory(spark, f"{base}/registry").select(
         "task", "target", "model", "feature_count", "metric", "validation"
     )
@@ -98,17 +97,21 @@ def score_products(spark, sf_dir):
 def _vectors(spark, sf_dir):
     base = _trained(spark, sf_dir)
     wide = stage_table(apply_models(spark.read.parquet(f"{base}/households"), base), "propensity")
-    return sg.score_vector(wide, list(propensity_columns(wide).values()))
+    return sg.score_vector(wide, list(propensity_columns(wide).values())).select(K, "features")
 
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf_dir):
-    return sg.kmeans_sweep(_vectors(spark, sf_dir), K, SHORT_RUN)
+    vectors = _vectors(spark, sf_dir).persist()
+    try:
+        return sg.kmeans_sweep(vectors, K, SHORT_RUN)
+    finally:
+        vectors.unpersist()
 
 
 @query("segment_households")
 def segment_households(spark, sf_dir):
-    vectors = _vectors(spark, sf_dir)
+    vectors = stage_table(_vectors(spark, sf_dir), "vectors")
     s = SHORT_RUN
     model = sg.fit_kmeans(vectors, s.segments, s.seed, s.segment_starts, s.segment_iterations)
     return model.transform(vectors).select(K, "cluster")

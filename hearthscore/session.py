@@ -36,6 +36,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return spark
 
 
+_local_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -48,9 +51,10 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder shared by all executors"
         )
-    fallback = tempfile.mkdtemp(prefix="hearthscore-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _local_fallback:
+        _local_fallback[app] = tempfile.mkdtemp(prefix="hearthscore-")
+    return _local_fallback[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -28,6 +28,11 @@ def inventory(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("metric", F.coalesce("roc_auc", "r2"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def save_model(model: PipelineModel, base: str, task: str, target: str, name: str) -> str:
     """Store a fitted pipeline under a fresh path and return it."""
     path = f"{base}/models/{task}/{target}/{name}-{uuid.uuid4().hex[:8]}"
@@ -44,6 +49,8 @@ def register(spark: SparkSession, base: str, rows: list[dict]) -> None:
 
 def best_models(spark: SparkSession, base: str, task: str) -> dict[str, str]:
     """Target -> path of its best model by validation metric, newest on a tie."""
+    if not exists(spark, f"{base}/registry"):
+        return {}
     rows = inventory(spark, f"{base}/registry").filter((F.col("task") == task) & F.col("path").isNotNull())
     best = rows.groupBy("target").agg(
         F.max(F.struct("validation", "trained_at", "path")).alias("best")
