@@ -255,14 +255,22 @@ def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
     penalty on a mean over a label scaled to deviation 1.
     """
     scaler = _scaler(train)
-    ready = scaler.transform(train).withColumn("fold", F.pmod(key_hash(KEY, s.seed + 1), F.lit(s.folds)).cast("int"))
-    deviation = ready.agg(F.stddev_samp("log_target")).first()[0] or 1.0
+    fold = F.pmod(key_hash(KEY, s.seed + 1), F.lit(s.folds)).cast("int")
+    ready = scaler.transform(train).withColumn("fold", fold)
+    # The normal-equation solver, one pass per fit, takes up to 4096 columns; it
+    # scales the label by its population deviation, the iterative one by the sample.
+    solver, deviation = ("normal", F.stddev_pop) if scaler.mean.size <= 4096 else ("l-bfgs", F.stddev_samp)
+    unit = ready.agg(deviation("log_target")).first()[0] or 1.0
     line = LinearRegression(
-        featuresCol="scaled", labelCol="log_target", elasticNetParam=0.0, standardization=False
+        featuresCol="scaled",
+        labelCol="log_target",
+        elasticNetParam=0.0,
+        standardization=False,
+        solver=solver,
     )
     # The scaler divides by the sample deviation, the penalty is meant for the
     # population one: a factor (n - 1) / n.
-    penalties = [a / n * (n - 1) / n * deviation for a in s.ridge_alphas]
+    penalties = [a / n * (n - 1) / n * unit for a in s.ridge_alphas]
     grid = ParamGridBuilder().addGrid(line.regParam, penalties).build()
     cv = CrossValidator(
         estimator=line,
@@ -272,7 +280,12 @@ def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
         foldCol="fold",
         parallelism=s.fit_threads,
     )
-    return [scaler, cv.fit(ready.persist()).bestModel, _to_cost("expm1(prediction)")]
+    ready = ready.persist()
+    try:
+        best = cv.fit(ready).bestModel
+    finally:
+        ready.unpersist()
+    return [scaler, best, _to_cost("expm1(prediction)")]
 
 
 def huber(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
