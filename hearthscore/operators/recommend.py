@@ -51,6 +51,9 @@ def household_scores(wide: DataFrame, key: str, score_columns: dict[str, str]) -
 
     The ranking is a sort of the handful of scores inside the row.
     """
+    if not score_columns:
+        none = long_scores(wide, key, {}).withColumns({"place": F.lit(0), "tier": F.lit("")})
+        return none.select(key, "place", "product", "score", "tier")
     options = [
         F.struct(
             (-F.col(c).cast("double")).alias("o"),

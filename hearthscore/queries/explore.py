@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hearthscore.config import FLAG_SUFFIX, INCOME_MIDPOINTS, MEMBER_COLUMNS, Settings
+from hearthscore.config import (
+    FLAG_SUFFIX,
+    INCOME_MIDPOINTS,
+    MEMBER_COLUMNS,
+    MODE_COLUMNS,
+    Settings,
+)
 from hearthscore.operators import clean
 from hearthscore.operators import explore as ex
+from hearthscore.operators import lookup as lk
 from hearthscore.operators import members as mb
 from hearthscore.queries.catalog import calls, features, households, plain, query
-from hearthscore.queries.households import FEATURES, HOUSEHOLD, K
+from hearthscore.queries.households import FEATURES, K
 from hearthscore.queries.oracle_base import _case, sql, yn
-from hearthscore.config import MODE_COLUMNS
 from hearthscore.sources import tpch_calls as src
 
 _RAW = [
@@ -325,7 +331,18 @@ def target_correlation(spark, sf_dir):
 
 @query("household_keys", sql("select household_key from hh order by household_key limit 500", "hh"))
 def household_keys(spark, sf_dir):
-    return households(spark, sf_dir).select(K).distinct().orderBy(K).limit(500)
+    return lk.household_keys(households(spark, sf_dir))
+
+
+@query(
+    "random_household",
+    sql(
+        "select household_key from hh order by ('0x' || substr(md5(household_key || '-7'), 1, 15))::bigint limit 1",
+        "hh",
+    ),
+)
+def random_household(spark, sf_dir):
+    return lk.random_household(households(spark, sf_dir), 7)
 
 
 @query(
@@ -339,4 +356,4 @@ def household_keys(spark, sf_dir):
 def household_lookup(spark, sf_dir):
     asked = src.table(spark, sf_dir, "customer").filter("c_acctbal < 0")
     asked = asked.select(F.col("c_custkey").alias(K))
-    return plain(features(spark, sf_dir).select(*FEATURES).join(asked, K, "left_semi"))
+    return plain(lk.find_households(features(spark, sf_dir).select(*FEATURES), asked))

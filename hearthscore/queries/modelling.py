@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearthscore.config import SHORT_RUN
+from hearthscore.operators import lookup as lk
 from hearthscore.operators import models as md
 from hearthscore.operators import segments as sg
-from hearthscore.operators.propensity import propensity_columns, score_products as apply_models
+from hearthscore.operators.propensity import propensity_columns, score_cost
+from hearthscore.operators.propensity import score_products as apply_models
 from hearthscore.operators.recommend import long_scores
 from hearthscore.plans import stages as st
 from hearthscore.queries.catalog import calls, features, query
@@ -71,17 +73,24 @@ def feature_importance(spark, sf_dir):
     return spark.createDataFrame(rows, md.IMPORTANCE_SCHEMA)
 
 
+_engines: dict[tuple[str, str], str] = {}
+
+
 def _trained(spark, sf_dir) -> str:
-    base = scratch_path(spark, "engine")
-    st.stage_preprocess(calls(spark, sf_dir), base, src.COST_YEARS)
-    st.stage_classify(spark, base, src.PRODUCTS, SHORT_RUN)
-    return base
+    """Folder with households, models and registry; later queries resume from it."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _engines:
+        base = scratch_path(spark, "engine")
+        st.stage_preprocess(calls(spark, sf_dir), base, src.COST_YEARS)
+        st.stage_classify(spark, base, src.PRODUCTS, SHORT_RUN)
+        st.stage_regress(spark, base, src.PRODUCTS, SHORT_RUN)
+        _engines[at] = base
+    return _engines[at]
 
 
 @query("model_registry")
 def model_registry(spark, sf_dir):
     base = _trained(spark, sf_dir)
-    st.stage_regress(spark, base, src.PRODUCTS, SHORT_RUN)
     return registry.inventory(spark, f"{base}/registry").select(
         "task", "target", "model", "feature_count", "metric", "validation"
     )
@@ -94,6 +103,20 @@ def score_products(spark, sf_dir):
     return long_scores(wide, K, propensity_columns(wide))
 
 
+@query("score_households")
+def score_households(spark, sf_dir):
+    base = _trained(spark, sf_dir)
+    asked = src.table(spark, sf_dir, "customer").filter("c_acctbal < 0")
+    asked = asked.select(F.col("c_custkey").alias(K))
+    return lk.score_households(spark.read.parquet(f"{base}/households"), asked, base)
+
+
+@query("expected_cost")
+def expected_cost(spark, sf_dir):
+    base = _trained(spark, sf_dir)
+    return score_cost(spark.read.parquet(f"{base}/households"), base).select(K, "expected_cost")
+
+
 def _vectors(spark, sf_dir):
     base = _trained(spark, sf_dir)
     wide = stage_table(apply_models(spark.read.parquet(f"{base}/households"), base), "propensity")
@@ -121,4 +144,4 @@ def segment_households(spark, sf_dir):
 def run_stage(spark, sf_dir):
     base = scratch_path(spark, "engine")
     out = st.run_all(calls(spark, sf_dir), base, src.PRODUCTS, SHORT_RUN, src.COST_YEARS)
-    return out.select(K, "cluster", F.col("cluster_name"), "recommended_product")
+    return out.select(K, "cluster", "cluster_name", "recommended_product")
