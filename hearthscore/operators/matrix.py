@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,30 +11,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthscore.config import MISSING_LABEL
-from hearthscore.operators.clean import all_null_columns, assert_no_excluded, numeric_columns, text_columns
+from hearthscore.operators.clean import assert_no_excluded, numeric_columns, text_columns
 from hearthscore.operators.quantiles import exact_medians
 
+log = logging.getLogger(__name__)
 MAX_LABELS = 1000
 
 
-def split_columns(df: DataFrame, drop: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Numeric and text model inputs, without the dropped and the empty columns."""
+def split_columns(df: DataFrame, drop: Sequence[str]) -> tuple[dict[str, float], list[str]]:
+    """Numeric inputs with their exact medians, and text inputs.
+
+    A column without any value has no median and is left out, with a warning.
+    """
     rest = assert_no_excluded(df.drop(*drop))
-    numeric = numeric_columns(rest)
-    empty = set(all_null_columns(rest, numeric))
-    return [c for c in numeric if c not in empty], text_columns(rest)
+    medians = exact_medians(rest, numeric_columns(rest))
+    empty = [c for c, m in medians.items() if m is None]
+    if empty:
+        log.warning("columns without any value are left out: %s", empty)
+    return {c: m for c, m in medians.items() if m is not None}, text_columns(rest)
+
+
+def fill_numbers(df: DataFrame, values: dict[str, float]) -> DataFrame:
+    return df.withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in values.items()}
+    )
 
 
 def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace nulls by the exact column median."""
     medians = exact_medians(df, columns)
-    return df.withColumns(
-        {
-            c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) if medians[c] is not None
-            else F.col(c).cast("double")
-            for c in columns
-        }
-    )
+    return fill_numbers(df, {c: medians[c] for c in columns if medians[c] is not None})
 
 
 def labels_of(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
@@ -68,8 +75,8 @@ def build_matrix(
     df: DataFrame, drop: Sequence[str], key: str = "household_key", labels=None
 ) -> DataFrame:
     """Key, imputed numbers and label indicators as plain columns."""
-    numeric, text = split_columns(df, [*drop, key])
-    return one_hot(impute_median(df.select(key, *numeric, *text), numeric), text, labels)
+    medians, text = split_columns(df, [*drop, key])
+    return one_hot(fill_numbers(df.select(key, *medians, *text), medians), text, labels)
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,18 +95,17 @@ def _quoted(name: str) -> str:
 
 def matrix_stages(
     train: DataFrame, drop: Sequence[str], features: str = "features"
-) -> tuple[list, list[str]]:
-    """Pipeline stages from a household row to a feature vector, and input names.
+) -> list:
+    """Pipeline stages from a household row to a feature vector.
 
     Medians come from ``train`` and are kept in the saved pipeline as constants of
     a SQL step.  Labels become sparse indicators; a label unseen in training falls
     into the dropped last slot, that is all zeros.
     """
-    numeric, text = split_columns(train, drop)
-    medians = exact_medians(train, numeric)
+    medians, text = split_columns(train, drop)
     parts = [
-        f"coalesce(cast({_quoted(c)} as double), cast({medians[c]!r} as double)) as {_quoted('n_' + c)}"
-        for c in numeric
+        f"coalesce(cast({_quoted(c)} as double), cast({m!r} as double)) as {_quoted('n_' + c)}"
+        for c, m in medians.items()
     ]
     parts += [f"coalesce({_quoted(c)}, '{MISSING_LABEL}') as {_quoted('t_' + c)}" for c in text]
     stages = [SQLTransformer(statement=f"select *, {', '.join(parts)} from __THIS__")]
@@ -119,9 +125,9 @@ def matrix_stages(
                 dropLast=True,
             )
         )
-    inputs = [f"n_{c}" for c in numeric] + [f"o_{c}" for c in text]
+    inputs = [f"n_{c}" for c in medians] + [f"o_{c}" for c in text]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=features))
-    return stages, [*numeric, *text]
+    return stages
 
 
 def fit_matrix(train: DataFrame, drop: Sequence[str], first: Sequence = ()) -> PipelineModel:
@@ -129,8 +135,7 @@ def fit_matrix(train: DataFrame, drop: Sequence[str], first: Sequence = ()) -> P
     ready = train
     for step in first:
         ready = step.transform(ready)
-    stages, _ = matrix_stages(ready, drop)
-    fitted = Pipeline(stages=stages).fit(ready)
+    fitted = Pipeline(stages=matrix_stages(ready, drop)).fit(ready)
     return PipelineModel(stages=[*first, *fitted.stages])
 
 

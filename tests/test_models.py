@@ -42,6 +42,24 @@ def test_matrix_has_no_nulls_and_keeps_the_key(households):
     assert {"zip=a", "zip=b", "zip=c", "zip=Not Set"} <= set(out.columns)
 
 
+def test_empty_column_is_left_out(households):
+    df = households.withColumn("never", F.lit(None).cast("double"))
+    assert "never" not in mx.build_matrix(df, PRODUCTS).columns
+
+
+def test_medians_and_labels_come_from_the_training_rows(households):
+    train = households.filter("household_key < 100 and zip = 'a' or zip is null")
+    model = mx.fit_matrix(train, ["household_key", *PRODUCTS])
+    row = households.filter("household_key = 1").withColumns(
+        {"income_mean": F.lit(None).cast("double"), "zip": F.lit("b")}
+    )
+    ready = model.transform(row)
+    got = dict(zip(mx.feature_names(ready), ready.select(vector_to_array("features")).first()[0]))
+    want = train.selectExpr("percentile(income_mean, 0.5)").first()[0]
+    assert got["income_mean"] == pytest.approx(want)
+    assert got["zip_a"] == 0.0 and "zip_b" not in got
+
+
 def test_exact_median_is_used(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate([1.0, 2.0, 3.0, 4.0, None])], "k long, a double")
     assert mx.impute_median(df, ["a"]).orderBy("k").collect()[-1].a == 2.5

@@ -55,6 +55,36 @@ def test_all_stages_and_restart(spark, sf):
     assert score_cost(households, base).filter("expected_cost < 0").count() == 0
 
 
+def test_registry_serves_the_best_validated_model(spark):
+    base = scratch_path(spark, "registry-test")
+    registry.register(spark, base, [
+        {"task": "classify", "target": "a", "model": m, "path": m, "roc_auc": auc, "validation": val}
+        for m, auc, val in [("alpha", 0.9, 0.6), ("zeta", 0.7, 0.8)]
+    ])
+    assert registry.best_models(spark, base, "classify") == {"a": "zeta"}
+    assert registry.best_models(spark, base, "regress") == {}
+    metrics = {r.model: r.metric for r in registry.inventory(spark, f"{base}/registry").collect()}
+    assert metrics == {"alpha": 0.9, "zeta": 0.7}
+
+
+def test_model_is_chosen_on_validation_not_on_test(spark):
+    from hearthscore.operators.selection import best_model
+
+    cards = spark.createDataFrame([("a", "m1", 0.9, 0.6), ("a", "m2", 0.7, 0.8)],
+                                  "product string, model string, roc_auc double, validation double")
+    assert best_model(cards, "product", "validation").first().model == "m2"
+
+
+def test_lookup(spark):
+    from hearthscore.operators import lookup as lk
+
+    df = spark.range(1000).withColumnRenamed("id", "household_key")
+    assert [r.household_key for r in lk.household_keys(df, 3).collect()] == [0, 1, 2]
+    draw = lk.random_household(df, 5).first()
+    assert draw == lk.random_household(df.repartition(5), 5).first()
+    assert lk.find_households(df, df.filter("household_key < 2")).count() == 2
+
+
 def test_empty_registry_scores_nothing(spark):
     df = spark.range(3)
     assert score_products(df, scratch_path(spark, "none")).columns == ["id"]
