@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthscore.llm.common import ASCII_LOWER, batch_of, lookup, pylists
 from hearthscore.session import stage_table
@@ -169,7 +170,7 @@ def judge(
     return stage_table(out.withColumn("kept", ~F.col("base_failed") & left), "judged")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _without_lines(texts: pa.Array, removed: pa.Array) -> pa.Array:
     out = []
     for text, gone in zip(texts.to_pylist(), removed.to_pylist()):

@@ -35,8 +35,8 @@ WITH d AS (
     SELECT r, i, count(*) OVER (PARTITION BY r, word, b, c) AS n FROM windows WHERE c IS NOT NULL
   ) WHERE n > 1
 ), covered AS (
-  SELECT r, count(DISTINCT at) AS n_repeat_words
-  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS at FROM twice) GROUP BY r
+  SELECT r, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY r
 ), raw_lines AS (
   SELECT r, unnest(string_split(text, chr(10))) AS line FROM d
 ), worded AS (

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthscore.session import stage_table
 
@@ -21,7 +22,7 @@ class PackSettings:
     budget: int = 32768  # padded tokens of a batch
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _words(texts: pa.Array) -> pa.Array:
     return pa.array([len(t.as_py().split()) if t.is_valid else 0 for t in texts], pa.int64())
 

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hearthscore.llm.common import ASCII_LOWER, hex64, lookup
 from hearthscore.llm.components import components
@@ -53,7 +54,7 @@ def fingerprint(text: bytes | None) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-@F.arrow_udf("long")
+@F.arrow_udf(T.LongType())
 def _fingerprints(texts: pa.Array) -> pa.Array:
     marks = np.array([fingerprint(t.as_py()) for t in texts], dtype=np.uint64)
     return pa.array(marks.view(np.int64))
