@@ -182,7 +182,6 @@ class Settings:
     sweep_starts: int = 10
     segment_starts: int = 20
     segment_iterations: int = 500
-    silhouette_sample: int = 1000
     fit_threads: int = 4
 
 

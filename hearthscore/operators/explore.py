@@ -91,9 +91,11 @@ def _flags(df: DataFrame) -> dict[str, Column]:
 
 
 def household_holdings(members: DataFrame) -> DataFrame:
-    """0/1 per household and product; households without any known flag drop out."""
+    """0/1 per household and product; members without a household and
+    households without any known flag drop out.
+    """
     flags = _flags(members)
-    held = members.groupBy("household_key").agg(*[F.max(f).alias(p) for p, f in flags.items()])
+    held = members.filter("household_key is not null").groupBy("household_key").agg(*[F.max(f).alias(p) for p, f in flags.items()])
     return held.na.drop("all", subset=list(flags))
 
 

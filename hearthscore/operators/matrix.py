@@ -15,7 +15,6 @@ from hearthscore.operators.clean import assert_no_excluded, numeric_columns, tex
 from hearthscore.operators.quantiles import exact_medians
 
 log = logging.getLogger(__name__)
-MAX_LABELS = 1000
 
 
 def split_columns(df: DataFrame, drop: Sequence[str]) -> tuple[dict[str, float], list[str]]:
@@ -43,27 +42,15 @@ def impute_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return fill_numbers(df, {c: medians[c] for c in columns if medians[c] is not None})
 
 
-def labels_of(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted labels per column; refuses columns too wide for one column per label."""
-    filled = df.select(*[F.coalesce(F.col(c), F.lit(MISSING_LABEL)).alias(c) for c in columns])
-    seen = filled.unpivot([], list(columns), "c", "v").distinct()
-    widths = {r.c: r["n"] for r in seen.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    wide = {c: n for c, n in widths.items() if n > MAX_LABELS}
-    if wide:
-        raise ValueError(f"use the vector form of the matrix for {wide}")
-    out: dict[str, list[str]] = {c: [] for c in columns}
-    for row in seen.collect():
-        out[row.c].append(row.v)
-    return {c: sorted(v) for c, v in out.items()}
-
-
 def dummy_name(column: str, label: str) -> str:
     return f"{column}={label}".replace(".", "_").replace("`", "_")
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], labels=None) -> DataFrame:
-    """One 0/1 column per label; a label not listed gives all zeros."""
-    labels = labels or labels_of(df, columns)
+def one_hot(df: DataFrame, columns: Sequence[str], labels: dict[str, list[str]]) -> DataFrame:
+    """One 0/1 column per listed label; a label not listed gives all zeros.
+
+    ``matrix_stages`` learns labels of any number and gives sparse vectors.
+    """
     new = []
     for c in columns:
         value = F.coalesce(F.col(c), F.lit(MISSING_LABEL))
@@ -72,7 +59,7 @@ def one_hot(df: DataFrame, columns: Sequence[str], labels=None) -> DataFrame:
 
 
 def build_matrix(
-    df: DataFrame, drop: Sequence[str], key: str = "household_key", labels=None
+    df: DataFrame, drop: Sequence[str], labels: dict[str, list[str]], key: str = "household_key"
 ) -> DataFrame:
     """Key, imputed numbers and label indicators as plain columns."""
     medians, text = split_columns(df, [*drop, key])

@@ -43,21 +43,20 @@ def _year_sums(years: Sequence[int]) -> list:
     ]
 
 
+def _dated_total():
+    """Cost of all dated calls, whichever years have columns."""
+    dated = F.when(F.col("sc_date").isNotNull(), F.col("total_cost"))
+    return F.coalesce(F.sum(dated), F.lit(0)).alias("total_cost")
+
+
 def cost_pivot(df: DataFrame, years: Sequence[int]) -> DataFrame:
-    """One row per member with a cost column per year and their total.
+    """One row per member with a cost column per year and the total of all years.
 
     Conditional sums need one shuffle where a pivot needs two.  Undated calls
-    are in no year column and so not in the total.
+    are in no year column and not in the total; calls of a year that is not
+    listed are in the total only.
     """
-    wide = df.groupBy("member_key").agg(*_year_sums(years))
-    return wide.withColumn("total_cost", _total(years))
-
-
-def _total(years: Sequence[int]):
-    total = F.lit(0)
-    for y in years:
-        total = total + F.col(f"cost_{y}")
-    return total
+    return df.groupBy("member_key").agg(*_year_sums(years), _dated_total())
 
 
 def member_costs(members: DataFrame, costs: DataFrame) -> DataFrame:
@@ -82,11 +81,13 @@ def encoded_members(df: DataFrame, years: Sequence[int]) -> DataFrame:
     row = F.struct(F.col(ORDER_COLUMN), *payload)
     if "member_status" in kept.columns:
         row = F.when(F.col("member_status").isin(*KEEP_STATUS), row)
-    grouped = kept.groupBy("member_key").agg(F.min(row).alias("_first"), *_year_sums(years))
+    grouped = kept.groupBy("member_key").agg(
+        F.min(row).alias("_first"), *_year_sums(years), _dated_total()
+    )
     flat = grouped.filter("_first is not null").select(
         "member_key",
         *[F.col(f"_first.{c}").alias(c) for c in payload],
         *[f"cost_{y}" for y in years],
-        _total(years).alias("total_cost"),
+        "total_cost",
     )
     return encode_flags(encode_ordinals(flat))

@@ -20,7 +20,7 @@ _G = "_group"
 
 def _grouped(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """One text column that stands for all group columns."""
-    label = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in by]) if by else F.lit("")
+    label = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in by]) if by else F.lit("")
     return df.withColumn(_G, label)
 
 

@@ -257,16 +257,17 @@ def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
     scaler = _scaler(train)
     fold = F.pmod(key_hash(KEY, s.seed + 1), F.lit(s.folds)).cast("int")
     ready = scaler.transform(train).withColumn("fold", fold)
-    # The normal-equation solver, one pass per fit, takes up to 4096 columns; it
-    # scales the label by its population deviation, the iterative one by the sample.
-    solver, deviation = ("normal", F.stddev_pop) if scaler.mean.size <= 4096 else ("l-bfgs", F.stddev_samp)
-    unit = ready.agg(deviation("log_target")).first()[0] or 1.0
+    # The iterative solver takes any number of columns and scales the label by
+    # its sample deviation.
+    unit = ready.agg(F.stddev_samp("log_target")).first()[0] or 1.0
     line = LinearRegression(
         featuresCol="scaled",
         labelCol="log_target",
         elasticNetParam=0.0,
         standardization=False,
-        solver=solver,
+        solver="l-bfgs",
+        maxIter=s.logistic_iterations,
+        tol=1e-8,
     )
     # The scaler divides by the sample deviation, the penalty is meant for the
     # population one: a factor (n - 1) / n.
@@ -359,11 +360,13 @@ def train_cost_models(
     settings: Settings,
     names: Sequence[str] | None = None,
 ) -> tuple[list[Fitted], DataFrame]:
-    """Fit the cost models on features free of cost, and predict the test rows."""
+    """Fit the cost models on features free of cost; predict validation and test rows."""
     base = regression_target(table)
     base = base.withColumn("target", F.col("target").cast("double"))
     leaks = leakage_columns(table.columns)
-    split = hash_split(base, KEY, settings.test_share, settings.seed)
+    split = hash_split(
+        base, KEY, settings.test_share, settings.seed, settings.validation_share
+    )
     split = split.withColumn("log_target", F.log1p("target"))
     train = split.filter("split = 'train'")
     drop = [KEY, "target", "log_target", "split", *products, *leaks]
@@ -372,7 +375,7 @@ def train_cost_models(
     fitted, scored = [], []
     try:
         inputs = ready.filter("split = 'train'")
-        held = ready.filter("split = 'test'")
+        held = ready.filter("split != 'train'")
         n = inputs.count()
         slots = feature_names(ready)
         for name in names or REGRESSORS:
@@ -381,11 +384,13 @@ def train_cost_models(
             out = held
             for stage in stages:
                 out = stage.transform(out)
-            scored.append(out.select(KEY, F.lit(name).alias("model"), F.col("target").alias("y"), "yhat"))
+            scored.append(
+                out.select(KEY, F.lit(name).alias("model"), "split", F.col("target").alias("y"), "yhat")
+            )
         return fitted, stage_table(reduce(DataFrame.unionByName, scored), "cost-scored")
     finally:
         ready.unpersist()
 
 
-def regression_summary(scored: DataFrame) -> DataFrame:
-    return regression_scorecard(scored, ["model"]).orderBy("rmse", "model")
+def regression_summary(scored: DataFrame, split: str = "test") -> DataFrame:
+    return regression_scorecard(scored.filter(F.col("split") == split), ["model"]).orderBy("rmse", "model")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -16,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthscore.config import NURTURE_LABEL, SEGMENT_LABELS, Settings
-from hearthscore.operators.split import key_hash
 
 PROFILE_COLUMNS = (
     "income_mean",
@@ -67,7 +65,7 @@ def calinski_harabasz(df: DataFrame, vector: str, label: str) -> float:
     return 1.0 if within == 0 else between * (total - k) / (within * (k - 1))
 
 
-def silhouette_squared(df: DataFrame, vector: str, label: str) -> float:
+def silhouette(df: DataFrame, vector: str, label: str) -> float:
     """Mean silhouette over all rows with squared distances (linear in rows)."""
     evaluator = ClusteringEvaluator(
         featuresCol=vector, predictionCol=label, distanceMeasure="squaredEuclidean"
@@ -75,47 +73,6 @@ def silhouette_squared(df: DataFrame, vector: str, label: str) -> float:
     return evaluator.evaluate(df.select(vector, label))
 
 
-def silhouette(
-    df: DataFrame, vector: str, label: str, key: str, sample: int = 1000, seed: int = 42
-) -> float:
-    """Mean silhouette with Euclidean distances on a hash sample.
-
-    The score needs every pair, so as usual it is taken on a bounded sample:
-    at most ``sample`` points travel with the tasks, never pairs of rows.
-    """
-    points = (
-        df.select(F.col(key).alias("k"), vector_to_array(vector).alias("v"), F.col(label).alias("c"))
-        .orderBy(key_hash("k", seed), "k")
-        .limit(sample)
-        .collect()
-    )
-    vectors = np.array([r.v for r in points])
-    labels = np.array([r.c for r in points])
-    names, sizes = np.unique(labels, return_counts=True)
-    if len(names) < 2:
-        return 0.0
-    members = (labels[:, None] == names[None, :]).astype(float)
-
-    def score(batches):
-        for batch in batches:
-            mine = np.stack(batch["v"].to_numpy())
-            own = np.searchsorted(names, batch["c"].to_numpy())
-            to_each = np.stack([np.sqrt(((vectors - x) ** 2).sum(axis=1)) for x in mine])
-            sums = to_each @ members
-            at = np.arange(len(mine))
-            same = sums[at, own] / np.maximum(sizes[own] - 1, 1)
-            means = sums / sizes
-            means[at, own] = np.inf
-            other = means.min(axis=1)
-            top = np.maximum(same, other)
-            value = np.where(top > 0, (other - same) / np.where(top > 0, top, 1), 0.0)
-            yield pd.DataFrame({"s": np.where(sizes[own] == 1, 0.0, value)})
-
-    spark = df.sparkSession
-    table = spark.createDataFrame([(r.v, r.c) for r in points], "v array<double>, c int")
-    return table.mapInPandas(score, "s double").agg(F.avg("s")).first()[0]
-
-
 # --- K-Means ------------------------------------------------------------------
 
 
@@ -134,12 +91,16 @@ def score_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_kmeans(df: DataFrame, k: int, seed: int, starts: int, iterations: int):
-    """Best of several seeded starts by training cost."""
+    """Best of several seeded starts by training cost, the first of equal ones.
+
+    Costs are compared in nine digits: sums differ in the last ones from run to
+    run, which must not decide between starts that reach the same optimum.
+    """
     models = [
         KMeans(k=k, seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(df)
         for i in range(starts)
     ]
-    return min(models, key=lambda m: m.summary.trainingCost)
+    return min(models, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
 
 
 def kmeans_sweep(df: DataFrame, key: str, settings: Settings) -> DataFrame:
@@ -155,9 +116,7 @@ def kmeans_sweep(df: DataFrame, key: str, settings: Settings) -> DataFrame:
             (
                 k,
                 float(model.summary.trainingCost),
-                silhouette(
-                    labelled, "features", "cluster", key, settings.silhouette_sample, settings.seed
-                ),
+                silhouette(labelled, "features", "cluster"),
                 calinski_harabasz(labelled, "features", "cluster"),
             )
         )

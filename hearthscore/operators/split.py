@@ -57,8 +57,10 @@ def stratified_split(
     return hashed.withColumn("split", out).drop("_hash", "_class")
 
 
-def hash_split(df: DataFrame, key: str, test_share: float, seed: int = 42) -> DataFrame:
-    return stratified_split(df, key, None, test_share, 0.0, seed)
+def hash_split(
+    df: DataFrame, key: str, test_share: float, seed: int = 42, validation_share: float = 0.0
+) -> DataFrame:
+    return stratified_split(df, key, None, test_share, validation_share, seed)
 
 
 def split_profile(df: DataFrame, label: str) -> DataFrame:

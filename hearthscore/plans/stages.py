@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearthscore.config import Settings
 from hearthscore.operators import models as md
@@ -65,13 +66,14 @@ def stage_classify(
 def stage_regress(
     spark: SparkSession, base: str, products: Sequence[str], settings: Settings
 ) -> DataFrame:
-    """Train the cost models and register the one with the smallest error."""
+    """Train the cost models, register the best on validation rows, report test rows."""
     table = io.scan_parquet(spark, f"{base}/households")
     fitted, scored = md.train_cost_models(table, products, settings)
     path = f"{base}/regression"
     io.write_parquet(md.regression_summary(scored), path)
     summary = io.scan_parquet(spark, path)
-    best = summary.orderBy("rmse", "model").first().asDict()
+    held = md.regression_summary(scored, "validation").first()
+    best = summary.filter(F.col("model") == held["model"]).first().asDict()
     chosen = next(f for f in fitted if f.name == best["model"])
     registry.register(
         spark,
@@ -81,7 +83,7 @@ def stage_regress(
                 **best,
                 "task": "regress",
                 "target": "cost",
-                "validation": -best["rmse"],
+                "validation": -held["rmse"],
                 "path": registry.save_model(chosen.pipeline, base, "regress", "cost", chosen.name),
                 "feature_count": len(chosen.features),
                 "feature_names": chosen.features,

@@ -125,21 +125,19 @@ from (select vec_id, max(own) as a, min(other) as b, max(size) as c from (
   group by p.vec_id, p.l, q.l) group by vec_id)"""
 
 
-_SAMPLED = "sampled as (select * from vecs order by ('0x' || substr(md5(vec_id || '-42'), 1, 15))::bigint, vec_id limit 1000)"
-_SIL = f"select round(({_silhouette_sql('list_distance(p.v, q.v)', source='sampled')}), 6) as silhouette"
 _SIL2 = f"select round(({_silhouette_sql('list_distance(p.v, q.v) ** 2')}), 6) as silhouette"
 
 
-@query("silhouette", sql(_SIL, "vecs").replace("\n" + _SIL, f", {_SAMPLED}\n{_SIL}"))
+@query("silhouette", sql(_SIL2, "vecs"))
 def silhouette(spark, sf_dir):
-    value = sg.silhouette(vectors(spark, sf_dir), "v", "label", "vec_id")
+    value = sg.silhouette(vectors(spark, sf_dir), "v", "label")
     out = spark.createDataFrame([(value,)], "silhouette double")
     return out.select(F.round("silhouette", 6).alias("silhouette"))
 
 
 @query("silhouette_squared", sql(_SIL2, "vecs"))
 def silhouette_squared(spark, sf_dir):
-    value = sg.silhouette_squared(vectors(spark, sf_dir), "v", "label")
+    value = sg.silhouette(vectors(spark, sf_dir), "v", "label")
     out = spark.createDataFrame([(value,)], "silhouette double")
     return out.select(F.round("silhouette", 6).alias("silhouette"))
 
@@ -162,7 +160,7 @@ _KS = (2, 3, 4, 5, 10)
 def best_k(spark, sf_dir):
     v = stage_table(vectors(spark, sf_dir), "vectors")
     rows = [
-        (k, sg.silhouette_squared(v.withColumn("c", F.col("label") % k), "v", "c")) for k in _KS
+        (k, sg.silhouette(v.withColumn("c", F.col("label") % k), "v", "c")) for k in _KS
     ]
     out = sg.best_k(spark.createDataFrame(rows, "k int, silhouette double"))
     return out.withColumn("silhouette", F.round("silhouette", 6))

@@ -72,14 +72,3 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when the input arrives in fewer partitions than there are.
-
-    A single small file is one partition.  Large inputs already have more
-    partitions than cores and are left alone.  ``keys`` should be unique or
-    nearly so, to spread evenly.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

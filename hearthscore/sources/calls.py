@@ -34,13 +34,15 @@ def scan_csv(spark: SparkSession, path: str, file_order: bool = True) -> DataFra
     in the file, known without a shuffle.  Only the columns a query uses are
     parsed, because the scan is text and the casts sit above it.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
     picked = []
     for header in raw.columns:
         name = column_name(header)
         if name in INDEX_COLUMNS:
             continue
         col = F.col(f"`{header}`")
+        if name == "household_key":
+            col = F.regexp_replace(col, r"\.0+$", "")  # a column once held as float
         if name in RAW_TYPES:
             col = col.try_cast(RAW_TYPES[name])
         picked.append(col.alias(name))

@@ -48,12 +48,17 @@ def register(spark: SparkSession, base: str, rows: list[dict]) -> None:
 
 
 def best_models(spark: SparkSession, base: str, task: str) -> dict[str, str]:
-    """Target -> path of its best model by validation metric, newest on a tie."""
+    """Target -> path of its best model by validation metric in the task's latest run.
+
+    All models of a run carry one time stamp, so a retrained model replaces
+    older ones and targets that were not trained again are not served.
+    """
     if not exists(spark, f"{base}/registry"):
         return {}
     rows = inventory(spark, f"{base}/registry").filter((F.col("task") == task) & F.col("path").isNotNull())
-    best = rows.groupBy("target").agg(
-        F.max(F.struct("validation", "trained_at", "path")).alias("best")
+    latest = rows.agg(F.max("trained_at")).first()[0]
+    best = rows.filter(F.col("trained_at") == latest).groupBy("target").agg(
+        F.max(F.struct("validation", "path")).alias("best")
     )
     return {r.target: r.best.path for r in best.collect()}
 

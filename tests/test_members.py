@@ -95,3 +95,24 @@ def test_sums_of_nothing_are_zero(spark):
 def test_regression_target(spark):
     df = spark.createDataFrame([(1, None)], "household_key long, total_cost_x double")
     assert regression_target(df).first().target == 0
+
+
+def test_a_year_that_is_not_listed_counts_in_the_total(raw_calls):
+    wide = by(mb.cost_pivot(raw_calls, [2015]), "member_key")
+    assert wide["a"].cost_2015 == 10 and wide["a"].total_cost == 30
+    out = by(mb.encoded_members(raw_calls, [2015]), "member_key")
+    assert out["a"].total_cost == 30 and out["e"].total_cost == 0
+
+
+def test_members_without_a_household_hold_nothing(raw_calls):
+    from hearthscore.operators.explore import household_holdings
+
+    assert None not in {r.household_key for r in household_holdings(raw_calls).collect()}
+
+
+def test_household_keys_once_held_as_float_survive(spark, tmp_path):
+    from hearthscore.sources.calls import scan_csv
+
+    (tmp_path / "calls.csv").write_text('Member Key,Household Key,ZIP\n1,123.0,"a ""b"""\n2,124,c\n')
+    rows = scan_csv(spark, f"file://{tmp_path}/calls.csv").collect()
+    assert [(r.household_key, r.zip) for r in rows] == [(123, 'a "b"'), (124, "c")]

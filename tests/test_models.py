@@ -33,8 +33,14 @@ def households(spark):
     ).persist()
 
 
+def labels_in(df):
+    texts = [c for c, kind in df.dtypes if kind == "string"]
+    rows = df.select(*texts).collect()
+    return {c: sorted({"Not Set" if r[c] is None else r[c] for r in rows}) for c in texts}
+
+
 def test_matrix_has_no_nulls_and_keeps_the_key(households):
-    out = mx.build_matrix(households, PRODUCTS)
+    out = mx.build_matrix(households, PRODUCTS, labels_in(households))
     assert out.count() == 600 and "household_key" in out.columns
     assert not set(PRODUCTS) & set(out.columns)
     nulls = out.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in out.columns]).first()
@@ -44,7 +50,7 @@ def test_matrix_has_no_nulls_and_keeps_the_key(households):
 
 def test_empty_column_is_left_out(households):
     df = households.withColumn("never", F.lit(None).cast("double"))
-    assert "never" not in mx.build_matrix(df, PRODUCTS).columns
+    assert "never" not in mx.build_matrix(df, PRODUCTS, labels_in(df)).columns
 
 
 def test_medians_and_labels_come_from_the_training_rows(households):
@@ -76,7 +82,7 @@ def test_unseen_label_is_all_zero(spark, households):
 
 def test_forbidden_column_is_refused(households):
     with pytest.raises(ValueError, match="cancel_date"):
-        mx.build_matrix(households.withColumn("cancel_date", F.lit("x")), PRODUCTS)
+        mx.build_matrix(households.withColumn("cancel_date", F.lit("x")), PRODUCTS, {})
 
 
 def test_target_is_not_among_its_own_features(households):

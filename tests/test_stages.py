@@ -112,3 +112,12 @@ def test_repository_holds_no_data():
         if os.path.getsize(os.path.join(d, f)) > 1_000_000
     ]
     assert not big
+
+
+def test_a_later_run_replaces_better_older_models(spark):
+    base = scratch_path(spark, "registry-test")
+    for model, target, value in (("old", "a", 0.85), ("gone", "b", 0.9), ("new", "a", 0.80)):
+        registry.register(spark, base, [
+            {"task": "classify", "target": target, "model": model, "path": model, "validation": value}
+        ])
+    assert registry.best_models(spark, base, "classify") == {"a": "new"}
