@@ -45,6 +45,7 @@ class Vocabulary:
     byte_ids: tuple[int, ...]
     byte_score: int
     longest: int
+    prefixes: frozenset[str]  # of all pieces
 
     @property
     def texts(self) -> dict[int, str]:
@@ -77,7 +78,8 @@ def read_vocabulary(path: str) -> Vocabulary:
     scores = {p: -round(1000 * math.log(r + 2)) for r, p in enumerate(ranked)}
     byte_score = -round(1000 * math.log(size + 2))
     longest = max(map(len, ids))
-    return Vocabulary(ids, scores, tuple(bytes_[b] for b in range(256)), byte_score, longest)
+    prefixes = frozenset(p[:k] for p in ids for k in range(1, len(p) + 1))
+    return Vocabulary(ids, scores, tuple(bytes_[b] for b in range(256)), byte_score, longest, prefixes)
 
 
 def _forward(v: Vocabulary, text: str, stop: int, start: dict[int, int]):
@@ -94,11 +96,14 @@ def _forward(v: Vocabulary, text: str, stop: int, start: dict[int, int]):
         if best[i] == NEVER:
             continue
         for k in range(1, min(v.longest, len(text) - i) + 1):
-            score = v.scores.get(text[i : i + k])
+            piece = text[i : i + k]
+            if k > 1 and piece not in v.prefixes:
+                break
+            score = v.scores.get(piece)
             if score is None:
-                if k > 1 or text[i] in v.ids:
+                if k > 1:
                     continue
-                score = v.byte_score * len(text[i].encode())
+                score = v.byte_score * len(piece.encode())
             total = best[i] + score
             if total > best[i + k] or (total == best[i + k] and 0 < last[i + k] < k):
                 best[i + k], last[i + k] = total, k
@@ -147,7 +152,8 @@ class Chunk:
     """A chunk of a text and the characters behind it that its pieces may reach.
 
     Whole words lie between its first and last cut; only the stretches at the
-    two ends depend on the overhangs there.
+    two ends depend on the overhangs there.  The words between add the same to
+    every path through the chunk, so scores leave them out.
     """
 
     def __init__(self, encoder: Encoder, text: str, ahead: str):
@@ -171,10 +177,7 @@ class Chunk:
         if self.cut:
             starts = {a: s for a, s in starts.items() if a <= len(self.head)}
             best, head_last = _forward(self.v, self.head, len(self.head), starts)
-            reached = best[len(self.head)]
-            if reached > NEVER:
-                reached += sum(self.encoder.word(w)[0] for w in self.middle)
-            starts = {0: reached}
+            starts = {0: best[len(self.head)]}
         starts = {a: s for a, s in starts.items() if a <= len(self.tail)}
         best, tail_last = _forward(self.v, self.tail, self.stop, starts)
         exits = [
@@ -197,8 +200,7 @@ class Chunk:
                 first.append(_forward(self.v, self.head, len(self.head), {a: 0})[0][-1])
         best, _ = _forward(self.v, self.tail, self.stop, {0: 0})
         tail = [best[self.stop + b] if self.stop + b < len(best) else NEVER for b in range(w)]
-        middle = sum(self.encoder.word(x)[0] for x in self.middle)
-        total = np.array(first, dtype=np.int64)[:, None] + np.array(tail, dtype=np.int64) + middle
+        total = np.array(first, dtype=np.int64)[:, None] + np.array(tail, dtype=np.int64)
         return np.where(total < NEVER // 2, NEVER, total)
 
     def encode(self, entry: list[int], overhang: int) -> tuple[list[int], int]:
