@@ -89,6 +89,11 @@ def _keys(fp: Column, i: int) -> tuple[Column, Column]:
     return base, F.transform(zero, lambda bit: base.bitwiseOR(bit))
 
 
+def _tagger(tag: Column):
+    # A second parameter of a lambda would be taken for the element's index.
+    return lambda key: key.bitwiseOR(tag)
+
+
 def links(marks: DataFrame) -> DataFrame:
     """Pairs ``u``, ``v`` of distinct fingerprints (column ``fp``) within 4 bits."""
     m, fp = len(WIDTHS), F.col("fp")
@@ -98,7 +103,7 @@ def links(marks: DataFrame) -> DataFrame:
         tagged = F.lit(i << 32)
         own.append(F.struct(base.bitwiseOR(tagged).alias("k"), F.lit(i).alias("start")))
         keys = F.concat(F.array(base), near)
-        probes.append(F.transform(keys, lambda k, t=tagged: k.bitwiseOR(t)))
+        probes.append(F.transform(keys, _tagger(tagged)))
     left = marks.select(fp.alias("u"), F.explode(F.array(*own)).alias("o"))
     left = left.select("u", "o.k", "o.start")
     right = marks.select(fp.alias("v"), F.explode(F.concat(*probes)).alias("k"))
