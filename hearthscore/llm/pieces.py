@@ -244,18 +244,25 @@ def _encoder_of(vocabulary) -> Encoder:
     return _encoders[0]
 
 
-CHUNK = pa.schema([("unit", pa.int64()), ("chunk", pa.int64()), ("text", pa.string()), ("ahead", pa.string())])
+CHUNK = pa.schema(
+    [
+        *[(c, pa.int64()) for c in ("unit", "id", "chunk", "n_chunks")],
+        ("text", pa.string()),
+        ("ahead", pa.string()),
+    ]
+)
+CHUNK_DDL = "unit long, id long, chunk long, n_chunks long, text string, ahead string"
 
 
 def _split(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, text in pylists(batch):
+            for unit, doc, text in pylists(batch):
                 text = " " + text
-                rows = []
+                rows, n = [], -(-len(text) // CHUNK_CHARS)
                 for i, at in enumerate(range(0, len(text), CHUNK_CHARS)):
                     end = at + CHUNK_CHARS
-                    rows.append((unit, i, text[at:end], text[end : end + reach]))
+                    rows.append((unit, doc, i, n, text[at:end], text[end : end + reach]))
                     if len(rows) == 256:
                         yield batch_of(CHUNK, rows)
                         rows = []
@@ -367,8 +374,8 @@ def _encode_giants(chunks: DataFrame, vocabulary, longest: int) -> DataFrame:
     cells = stage_table(chunks.mapInArrow(matrices, tri), "matrices")
     start = np.array([0] + [NEVER] * (longest - 1))
     entry = _sweep_down(_scan(cells, max_plus, longest), _pack(start), pass_matrix, False)
-    known = chunks.join(entry, keys).select("unit", "chunk", "text", "ahead", F.col("x").alias("entry"))
-    known = stage_table(known, "entries")
+    known = chunks.join(entry.withColumnRenamed("x", "entry"), keys)
+    known = known.select("unit", "chunk", "text", "ahead", "entry")
     maps = stage_table(known.mapInArrow(origins, tri), "origins")
     behind = _sweep_down(_scan(maps, compose, 1), _pack(np.array([0])), pass_map, True)
     ready = known.join(behind, keys).select("unit", "chunk", "text", "ahead", "entry", "x")
@@ -400,18 +407,12 @@ def encode(
 
     nought = F.lit(0).cast("long")
     short = rows.where(one).select("id", nought.alias("chunk"), (nought + 1).alias("n_chunks"), whole("text").alias("ids"))
-    giants = rows.where(~one).withColumn("unit", F.monotonically_increasing_id())
-    giants = stage_table(giants, "giants")
-    cut = giants.select("unit", "text").mapInArrow(
-        _split(vocabulary.longest - 1), "unit long, chunk long, text string, ahead string"
-    )
-    cut = stage_table(cut, "chunks")
-    ids = _encode_giants(cut, shared, vocabulary.longest)
-    # Every row below is one chunk, so the sides have one row per key.
-    names = giants.select("unit", "id").join(
-        cut.groupBy("unit").agg(F.count(F.lit(1)).alias("n_chunks")), "unit"
-    )
-    long = ids.join(names, "unit").select("id", "chunk", "n_chunks", "ids")
+    giants = rows.where(~one).select(F.monotonically_increasing_id().alias("unit"), "id", "text")
+    cut = stage_table(giants.mapInArrow(_split(vocabulary.longest - 1), CHUNK_DDL), "chunks")
+    ids = _encode_giants(cut.drop("id", "n_chunks"), shared, vocabulary.longest)
+    # One row per chunk on both sides.
+    names = cut.select("unit", "chunk", "id", "n_chunks")
+    long = ids.join(names, ["unit", "chunk"]).select("id", "chunk", "n_chunks", "ids")
     return short.unionByName(long)
 
 
