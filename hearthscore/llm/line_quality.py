@@ -3,7 +3,7 @@
 Normalised lines are hashed; for each (host, line) the distinct documents are
 counted.  Copies must not make their own content look like boilerplate, so
 equal texts of a host count once, and a line only counts as boilerplate if at
-least half of its documents are otherwise unrelated: their smallest other line
+least four fifths of its documents are otherwise unrelated: their smallest other line
 hash differs.  Such lines are removed, and a document that little is left of is
 rejected.
 """
@@ -33,7 +33,7 @@ class LineSettings:
     max_repeat_pct: int = 50  # words in repeated 3-word windows, of all words
     min_docs: int = 20  # a removed line is in more documents of its host than this,
     min_doc_pct: int = 2  # and in more than this share of them,
-    min_unrelated_pct: int = 50  # and this share of those are otherwise unrelated
+    min_unrelated_pct: int = 80  # and this share of those are otherwise unrelated
     min_left_pct: int = 30  # a document keeps at least this share of its words
 
 

@@ -67,7 +67,7 @@ WITH d AS (
   SELECT host, count(*) AS host_docs FROM texts GROUP BY host
 ), frequent AS (
   SELECT host, norm FROM lines JOIN hosts USING (host)
-  WHERE docs > 20 AND docs * 100 > host_docs * 2 AND unrelated * 100 >= docs * 50
+  WHERE docs > 20 AND docs * 100 > host_docs * 2 AND unrelated * 100 >= docs * 80
 ), removed AS (
   SELECT d.r, sum(x.n) AS n_removed_words
   FROM d JOIN worded x ON x.r = d.r JOIN frequent f ON f.host = d.host AND f.norm = x.norm
