@@ -9,15 +9,23 @@ chunk the scores at its start; then each chunk tells, for every overhang at its
 end, the one at its start on the best path, and these maps compose in the other
 direction.  With both ends known, chunks are traced independently, and the
 result is that of one pass over the whole text, ties included.
+
+Words between cuts do not depend on what surrounds them.  So a chunk takes part
+in the scan with its two ends only, and its whole words are encoded where they
+lie, without a join.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import cached_property
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +53,23 @@ class Vocabulary:
     byte_ids: tuple[int, ...]
     byte_score: int
     longest: int
-    prefixes: frozenset[str]  # of all pieces
+
+    @cached_property
+    def matcher(self):
+        """Finds all pieces in a text, by their ends; of equal ends the longest comes first."""
+        found = ahocorasick.Automaton()
+        for piece, score in self.scores.items():
+            found.add_word(piece, (len(piece), score, self.ids[piece]))
+        found.make_automaton()
+        return found
+
+    @cached_property
+    def letters(self) -> frozenset[str]:
+        """Characters that are pieces."""
+        return frozenset(p for p in self.scores if len(p) == 1)
+
+    def __getstate__(self):
+        return {f.name: getattr(self, f.name) for f in fields(self)}
 
     @property
     def texts(self) -> dict[int, str]:
@@ -78,8 +102,7 @@ def read_vocabulary(path: str) -> Vocabulary:
     scores = {p: -round(1000 * math.log(r + 2)) for r, p in enumerate(ranked)}
     byte_score = -round(1000 * math.log(size + 2))
     longest = max(map(len, ids))
-    prefixes = frozenset(p[:k] for p in ids for k in range(1, len(p) + 1))
-    return Vocabulary(ids, scores, tuple(bytes_[b] for b in range(256)), byte_score, longest, prefixes)
+    return Vocabulary(ids, scores, tuple(bytes_[b] for b in range(256)), byte_score, longest)
 
 
 def _forward(v: Vocabulary, text: str, stop: int, start: dict[int, int]):
@@ -92,21 +115,17 @@ def _forward(v: Vocabulary, text: str, stop: int, start: dict[int, int]):
     last = [0] * (len(text) + 1)
     for position, score in start.items():
         best[position] = score
-    for i in range(stop):
-        if best[i] == NEVER:
-            continue
-        for k in range(1, min(v.longest, len(text) - i) + 1):
-            piece = text[i : i + k]
-            if k > 1 and piece not in v.prefixes:
-                break
-            score = v.scores.get(piece)
-            if score is None:
-                if k > 1:
-                    continue
-                score = v.byte_score * len(piece.encode())
-            total = best[i] + score
-            if total > best[i + k] or (total == best[i + k] and 0 < last[i + k] < k):
-                best[i + k], last[i + k] = total, k
+    found = v.matcher.iter(text)
+    if not v.letters.issuperset(text):
+        bytes_ = [
+            (i, (1, v.byte_score * len(c.encode()), None)) for i, c in enumerate(text) if c not in v.letters
+        ]
+        found = sorted([*found, *bytes_], key=itemgetter(0))  # stable: single characters last
+    for end, (k, score, _) in found:
+        at = end + 1 - k
+        total = best[at] + score
+        if total > best[end + 1] and at < stop and best[at] > NEVER:
+            best[end + 1], last[end + 1] = total, k
     return best, last
 
 
@@ -122,55 +141,83 @@ def _trace(v: Vocabulary, text: str, last: list[int], end: int) -> tuple[list[in
     return out[::-1], i
 
 
-class Encoder:
-    """Viterbi for stretches between cuts, which it remembers."""
+def _word_ids(v: Vocabulary, word: str) -> bytes:
+    """Ids of a stretch between cuts: the plain case of the two functions above."""
+    if not v.letters.issuperset(word):
+        _, last = _forward(v, word, len(word), {0: 0})
+        return _packed(_trace(v, word, last, len(word))[0])
+    n = len(word)
+    best, back = [0] + [NEVER] * n, [(0, 0, 0)] * (n + 1)
+    for end, piece in v.matcher.iter(word):
+        end += 1
+        total = best[end - piece[0]] + piece[1]
+        if total > best[end]:
+            best[end], back[end] = total, piece
+    ids = array("i")
+    while n:
+        length, _, known = back[n]
+        ids.append(known)
+        n -= length
+    ids.reverse()
+    return ids.tobytes()
+
+
+class Encoder(dict):
+    """Ids of stretches between cuts, as the bytes of 32-bit numbers; it remembers them."""
 
     def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
         self.v = vocabulary
-        self.words: dict[str, tuple[int, list[int]]] = {}
-
-    def word(self, text: str) -> tuple[int, list[int]]:
-        """Score and ids of the whole of ``text``."""
-        known = self.words.get(text)
-        if known is None:
-            best, last = _forward(self.v, text, len(text), {0: 0})
-            known = best[-1], _trace(self.v, text, last, len(text))[0]
-            if len(self.words) >= MEMO:
-                self.words.clear()
-            self.words[text] = known
-        return known
+
+    def __missing__(self, word: str) -> bytes:
+        ids = _word_ids(self.v, word)
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def words(self, text: str) -> bytes:
+        """Ids of a text that cuts enclose."""
+        return b"".join(map(self.__getitem__, WORD.findall(text)))
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a whole text, after the blank that opens every text."""
+        return self.words(" " + text) if text else b""
 
     def whole(self, text: str) -> list[int]:
-        """Ids of a text in one piece, after the blank that opens every text."""
-        out: list[int] = []
-        for w in WORD.findall(" " + text) if text else ():
-            out += self.word(w)[1]
-        return out
+        return np.frombuffer(self.packed(text), np.int32).tolist()
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def _lists(packed: list[bytes]) -> pa.Array:
+    """An Arrow list of int32 per element."""
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+    ids = np.frombuffer(b"".join(packed), np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32()))
 
 
-class Chunk:
-    """A chunk of a text and the characters behind it that its pieces may reach.
+class Ends:
+    """The stretches of a chunk that depend on its neighbours.
 
-    Whole words lie between its first and last cut; only the stretches at the
-    two ends depend on the overhangs there.  The words between add the same to
-    every path through the chunk, so scores leave them out.
+    ``head`` reaches up to the first cut and ``tail`` from the last cut to what
+    pieces may reach behind the chunk, whose own characters end at ``stop`` in
+    it.  Without a cut the tail is all.  Whole words between the two add the
+    same to every path, so scores leave them out.
     """
 
-    def __init__(self, encoder: Encoder, text: str, ahead: str):
-        self.encoder, self.v = encoder, encoder.v
-        full, n = text + ahead, len(text)
-        parts = WORD.findall(full)
-        ends = np.cumsum([len(p) for p in parts]).tolist()
-        inner = [i for i, end in enumerate(ends) if end <= n and end < len(full)]
-        self.cut = bool(inner)
-        if self.cut:
-            self.head = parts[0]
-            self.middle = parts[1 : inner[-1] + 1]
-            self.tail, self.stop = parts[inner[-1] + 1], n - ends[inner[-1]]
-        else:
-            self.head, self.middle, self.tail, self.stop = "", [], parts[0], n
+    def __init__(self, v: Vocabulary, cut: bool, head: str, tail: str, stop: int):
+        self.v, self.cut, self.head, self.tail, self.stop = v, cut, head, tail, stop
+
+    def _exits(self, best: list[int]) -> list[int]:
+        return [
+            best[self.stop + b] if self.stop + b < len(best) else NEVER
+            for b in range(self.v.longest)
+        ]
 
-    def _ends(self, entry: list[int]):
+    def _passes(self, entry: list[int]):
         """Forward pass over head and tail for the scores of the overhangs at the start."""
         starts = {a: s for a, s in enumerate(entry) if s > NEVER}
         head_last: list[int] = []
@@ -180,18 +227,14 @@ class Chunk:
             starts = {0: best[len(self.head)]}
         starts = {a: s for a, s in starts.items() if a <= len(self.tail)}
         best, tail_last = _forward(self.v, self.tail, self.stop, starts)
-        exits = [
-            best[self.stop + b] if self.stop + b < len(best) else NEVER
-            for b in range(self.v.longest)
-        ]
-        return exits, head_last, tail_last
+        return self._exits(best), head_last, tail_last
 
     def matrix(self) -> np.ndarray:
         """Best score from each overhang at the start to each behind the end."""
         w = self.v.longest
-        alone = [[0 if i == a else NEVER for i in range(w)] for a in range(w)]
         if not self.cut:
-            return np.array([self._ends(entry)[0] for entry in alone], dtype=np.int64)
+            alone = [[0 if i == a else NEVER for i in range(w)] for a in range(w)]
+            return np.array([self._passes(entry)[0] for entry in alone], dtype=np.int64)
         first = []
         for a in range(w):
             if a > len(self.head):
@@ -199,33 +242,55 @@ class Chunk:
             else:
                 first.append(_forward(self.v, self.head, len(self.head), {a: 0})[0][-1])
         best, _ = _forward(self.v, self.tail, self.stop, {0: 0})
-        tail = [best[self.stop + b] if self.stop + b < len(best) else NEVER for b in range(w)]
-        total = np.array(first, dtype=np.int64)[:, None] + np.array(tail, dtype=np.int64)
+        total = np.array(first, dtype=np.int64)[:, None] + np.array(self._exits(best), dtype=np.int64)
         return np.where(total < NEVER // 2, NEVER, total)
 
-    def encode(self, entry: list[int], overhang: int) -> tuple[list[int], int]:
-        """Ids of the pieces starting here on the best path to ``overhang``, and its own start."""
-        _, head_last, tail_last = self._ends(entry)
+    def trace(self, entry: list[int], overhang: int) -> tuple[list[int], list[int], int]:
+        """Ids in head and in tail on the best path to ``overhang``, and its own start."""
+        _, head_last, tail_last = self._passes(entry)
         ids, start = _trace(self.v, self.tail, tail_last, self.stop + overhang)
         if not self.cut:
-            return ids, start
+            return ids, [], start
         first, start = _trace(self.v, self.head, head_last, len(self.head))
-        for w in self.middle:
-            first += self.encoder.word(w)[1]
-        return first + ids, start
+        return first, ids, start
 
     def entries(self, entry: list[int]) -> list[int]:
         """For each overhang behind the end, the overhang at the start on its best path; -1: none."""
-        exits, head_last, tail_last = self._ends(entry)
-        out = []
-        for b, score in enumerate(exits):
-            if score <= NEVER:
-                out.append(-1)
-            elif self.cut:
-                out.append(_trace(self.v, self.head, head_last, len(self.head))[1])
-            else:
-                out.append(_trace(self.v, self.tail, tail_last, self.stop + b)[1])
-        return out
+        exits, head_last, tail_last = self._passes(entry)
+        if self.cut:
+            start = _trace(self.v, self.head, head_last, len(self.head))[1]
+            return [start if score > NEVER else -1 for score in exits]
+        return [
+            _trace(self.v, self.tail, tail_last, self.stop + b)[1] if score > NEVER else -1
+            for b, score in enumerate(exits)
+        ]
+
+
+class Chunk(Ends):
+    """A chunk of a text, given with the characters behind it that its pieces may reach."""
+
+    def __init__(self, encoder: Encoder, text: str, ahead: str):
+        self.encoder = encoder
+        super().__init__(encoder.v, *(parts := cut_ends(text, ahead))[:1], *parts[2:])
+        self.middle = parts[1]
+
+    def encode(self, entry: list[int], overhang: int) -> tuple[list[int], int]:
+        """Ids of the pieces starting here on the best path to ``overhang``, and its own start."""
+        head, tail, start = self.trace(entry, overhang)
+        middle = np.frombuffer(self.encoder.words(self.middle), np.int32).tolist()
+        return head + middle + tail, start
+
+
+def cut_ends(text: str, ahead: str) -> tuple[bool, str, str, str, int]:
+    """Of a chunk: has it a cut, its whole words, its head, its tail, and where the tail's own part stops."""
+    full, n = text + ahead, len(text)
+    parts = WORD.findall(full)
+    ends = np.cumsum([len(p) for p in parts])
+    inner = int(np.searchsorted(ends, min(n, len(full) - 1), side="right"))  # parts up to the last cut
+    if not inner:
+        return False, "", "", parts[0], n
+    head, last = len(parts[0]), int(ends[inner - 1])
+    return True, full[head:last], parts[0], parts[inner], n - last
 
 
 def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -247,11 +312,15 @@ def _encoder_of(vocabulary) -> Encoder:
 CHUNK = pa.schema(
     [
         *[(c, pa.int64()) for c in ("unit", "id", "chunk", "n_chunks")],
-        ("text", pa.string()),
-        ("ahead", pa.string()),
+        ("cut", pa.bool_()),
+        *[(c, pa.string()) for c in ("middle", "head", "tail")],
+        ("stop", pa.int32()),
     ]
 )
-CHUNK_DDL = "unit long, id long, chunk long, n_chunks long, text string, ahead string"
+CHUNK_DDL = (
+    "unit long, id long, chunk long, n_chunks long, cut boolean, middle string,"
+    " head string, tail string, stop int"
+)
 
 
 def _split(reach: int):
@@ -262,7 +331,7 @@ def _split(reach: int):
                 rows, n = [], -(-len(text) // CHUNK_CHARS)
                 for i, at in enumerate(range(0, len(text), CHUNK_CHARS)):
                     end = at + CHUNK_CHARS
-                    rows.append((unit, doc, i, n, text[at:end], text[end : end + reach]))
+                    rows.append((unit, doc, i, n, *cut_ends(text[at:end], text[end : end + reach])))
                     if len(rows) == 256:
                         yield batch_of(CHUNK, rows)
                         rows = []
@@ -327,30 +396,38 @@ def _sweep_down(levels: list[DataFrame], start: bytes, step: Callable, backwards
     return known
 
 
-IDS = "unit long, chunk long, ids array<int>"
-IDS_SCHEMA = pa.schema([("unit", pa.int64()), ("chunk", pa.int64()), ("ids", pa.list_(pa.int32()))])
+ENDS = ("cut", "head", "tail", "stop")
+IDS = "id long, chunk long, n_chunks long, ids array<int>"
 
 
-def _encode_giants(chunks: DataFrame, vocabulary, longest: int) -> DataFrame:
-    """Ids per chunk of staged ``unit``, ``chunk``, ``text``, ``ahead``."""
+def _rows(ids: list, chunks: list, sizes: list, packed: list[bytes]) -> pa.RecordBatch:
+    arrays = [pa.array(c, pa.int64()) for c in (ids, chunks, sizes)]
+    return pa.RecordBatch.from_arrays([*arrays, _lists(packed)], ["id", "chunk", "n_chunks", "ids"])
+
+
+def _encode_ends(ends: DataFrame, vocabulary, longest: int) -> DataFrame:
+    """Rows of the first and the last stretch of each chunk: every third and the one before the next.
+
+    ``ends`` has the key, the id and the ends of the chunks; it is read twice
+    and shuffled once, without the words between the ends.
+    """
+    tri = "unit long, chunk long, m binary"
+    schema = pa.schema([("unit", pa.int64()), ("chunk", pa.int64()), ("m", pa.binary())])
 
     def matrices(batches):
-        encoder = _encoder_of(vocabulary)
-        schema = pa.schema([("unit", pa.int64()), ("chunk", pa.int64()), ("m", pa.binary())])
+        v = _encoder_of(vocabulary).v
         for batch in batches:
-            rows = [(u, c, _pack(Chunk(encoder, t, a).matrix())) for u, c, t, a in pylists(batch)]
-            yield batch_of(schema, rows)
+            yield batch_of(schema, [(u, c, _pack(Ends(v, *e).matrix())) for u, c, *e in pylists(batch)])
 
     def pass_matrix(x: bytes, m: bytes) -> bytes:
         return _pack(max_plus(_unpack(x).reshape(1, -1), _unpack(m).reshape(longest, -1)))
 
     def origins(batches):
-        encoder = _encoder_of(vocabulary)
-        schema = pa.schema([("unit", pa.int64()), ("chunk", pa.int64()), ("m", pa.binary())])
+        v = _encoder_of(vocabulary).v
         for batch in batches:
             rows = []
-            for u, c, t, a, x in pylists(batch):
-                rows.append((u, c, _pack(Chunk(encoder, t, a).entries(_unpack(x).tolist()))))
+            for u, c, *e, x in pylists(batch):
+                rows.append((u, c, _pack(Ends(v, *e).entries(_unpack(x).tolist()))))
             yield batch_of(schema, rows)
 
     def compose(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -361,24 +438,25 @@ def _encode_giants(chunks: DataFrame, vocabulary, longest: int) -> DataFrame:
         return _pack(_unpack(m)[_unpack(x)])
 
     def trace(batches):
-        encoder = _encoder_of(vocabulary)
+        v = _encoder_of(vocabulary).v
         for batch in batches:
-            rows = []
-            for u, c, t, a, x, y in pylists(batch):
-                ids, _ = Chunk(encoder, t, a).encode(_unpack(x).tolist(), int(_unpack(y)[0]))
-                rows.append((u, c, ids))
-            yield batch_of(IDS_SCHEMA, rows)
+            docs, places, sizes, packed = [], [], [], []
+            for doc, c, n, *e, x, y in pylists(batch):
+                head, tail, _ = Ends(v, *e).trace(_unpack(x).tolist(), int(_unpack(y)[0]))
+                docs += [doc, doc]
+                places += [3 * c, 3 * c + 2]
+                sizes += [3 * n, 3 * n]
+                packed += [_packed(head), _packed(tail)]
+            yield _rows(docs, places, sizes, packed)
 
     keys = ["unit", "chunk"]
-    tri = "unit long, chunk long, m binary"
-    cells = stage_table(chunks.mapInArrow(matrices, tri), "matrices")
+    cells = stage_table(ends.select(*keys, *ENDS).mapInArrow(matrices, tri), "matrices")
     start = np.array([0] + [NEVER] * (longest - 1))
     entry = _sweep_down(_scan(cells, max_plus, longest), _pack(start), pass_matrix, False)
-    known = chunks.join(entry.withColumnRenamed("x", "entry"), keys)
-    known = known.select("unit", "chunk", "text", "ahead", "entry")
-    maps = stage_table(known.mapInArrow(origins, tri), "origins")
+    known = ends.join(entry.withColumnRenamed("x", "entry"), keys)
+    maps = stage_table(known.select(*keys, *ENDS, "entry").mapInArrow(origins, tri), "origins")
     behind = _sweep_down(_scan(maps, compose, 1), _pack(np.array([0])), pass_map, True)
-    ready = known.join(behind, keys).select("unit", "chunk", "text", "ahead", "entry", "x")
+    ready = known.join(behind, keys).select("id", "chunk", "n_chunks", *ENDS, "entry", "x")
     return ready.mapInArrow(trace, IDS)
 
 
@@ -391,7 +469,9 @@ def encode(
     blank put before it; equal scores prefer longer pieces from the end on.
     Texts up to ``CHUNK_CHARS`` are one chunk and are encoded where they are
     read; longer ones take the scan, in which no task holds more than
-    ``SCAN_WIDTH`` matrices.  A piece belongs to the chunk it starts in.  Null
+    ``SCAN_WIDTH`` matrices.  Each chunk of the scan gives three rows: what
+    comes up to its first cut, its whole words, and what starts behind its last
+    cut; the ids of a text are those of its rows in the order of ``chunk``.  Null
     and empty texts give one row without ids; null and repeated ids are encoded
     like others; other columns are ignored; an empty table gives an empty
     result.
@@ -403,17 +483,21 @@ def encode(
     @F.arrow_udf("array<int>")
     def whole(texts: pa.Array) -> pa.Array:
         encoder = _encoder_of(shared)
-        return pa.array([encoder.whole(t.as_py()) for t in texts], pa.list_(pa.int32()))
+        return _lists([encoder.packed(t.as_py()) for t in texts])
+
+    def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder_of(shared)
+        for batch in batches:
+            ids, chunks, sizes, texts = zip(*pylists(batch)) if batch.num_rows else ((),) * 4
+            places = [3 * c + 1 for c in chunks]
+            yield _rows(list(ids), places, [3 * n for n in sizes], [encoder.words(t) for t in texts])
 
     nought = F.lit(0).cast("long")
     short = rows.where(one).select("id", nought.alias("chunk"), (nought + 1).alias("n_chunks"), whole("text").alias("ids"))
     giants = rows.where(~one).select(F.monotonically_increasing_id().alias("unit"), "id", "text")
     cut = stage_table(giants.mapInArrow(_split(vocabulary.longest - 1), CHUNK_DDL), "chunks")
-    ids = _encode_giants(cut.drop("id", "n_chunks"), shared, vocabulary.longest)
-    # One row per chunk on both sides.
-    names = cut.select("unit", "chunk", "id", "n_chunks")
-    long = ids.join(names, ["unit", "chunk"]).select("id", "chunk", "n_chunks", "ids")
-    return short.unionByName(long)
+    words = cut.select("id", "chunk", "n_chunks", "middle").mapInArrow(middles, IDS)
+    return short.unionByName(words).unionByName(_encode_ends(cut.drop("middle"), shared, vocabulary.longest))
 
 
 def decode_ids(vocabulary: Vocabulary, first: bool, ids: list[int]) -> str:
