@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 GRID = 256
 SKETCH_ACCURACY = 10_000
-MAX_INTERVAL_ROWS = 500_000
+MAX_INTERVAL_ROWS = 500_000  # narrowing goes on until intervals hold no more
 
 
 def _sketch(value):
@@ -47,26 +47,19 @@ def order_statistics(
     long = df.select(F.col(group).alias("_g"), F.col(value).alias("_v")).filter("_v is not null")
     kind = long.schema["_v"].dataType.simpleString()
     head = long.groupBy("_g").agg(
-        F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
-        _sketch("_v").alias("points"),
+        F.count("_v").alias("n"), _sketch("_v").alias("points")
     ).collect()
-    found: dict[tuple[str, int], tuple] = {}
-    large = False
-    for row in head:
-        for r in ranks(row["_g"], row["n"]):
-            if row["n"] > MAX_INTERVAL_ROWS:
-                large = True
-                found[row["_g"], r] = _narrow(row["points"], r, row["n"])
-            else:
-                found[row["_g"], r] = (row["lo"], row["hi"])
+    found = {
+        (row["_g"], r): _narrow(row["points"], r, row["n"])
+        for row in head
+        for r in ranks(row["_g"], row["n"])
+    }
     if not found:
         return {}
 
     while True:
         intervals = sorted({(g, lo, hi) for (g, _), (lo, hi) in found.items()}, key=repr)
         near, label = _inside(long, intervals, kind)
-        if not large:
-            return _pick(near, label, found)
         stats = {
             row["_i"]: row
             for row in near.groupBy("_i")
@@ -77,16 +70,18 @@ def order_statistics(
             )
             .collect()
         }
-        large = False
-        for (g, r), (lo, hi) in list(found.items()):
+        narrower = {}
+        for (g, r), (lo, hi) in found.items():
             s = stats[label[g, lo, hi]]
             if not s["below"] <= r < s["below"] + s["inside"]:
                 raise RuntimeError(f"rank {r} of {g} lies outside its interval")
             if s["inside"] > MAX_INTERVAL_ROWS and lo < hi:
-                narrower = _narrow(s["points"], r - s["below"], s["inside"])
-                if narrower != (lo, hi):
-                    found[g, r] = narrower
-                    large = True
+                closer = _narrow(s["points"], r - s["below"], s["inside"])
+                if closer != (lo, hi):
+                    narrower[g, r] = closer
+        if not narrower:
+            return _pick(near, label, found)
+        found |= narrower
 
 
 def _inside(long: DataFrame, intervals: list, kind: str):
