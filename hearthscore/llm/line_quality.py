@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthscore.llm.common import ASCII_LOWER, batch_of, lookup, pylists
+from hearthscore.llm.common import ASCII_LOWER, batch_of, fresh, lookup, pylists
 from hearthscore.session import stage_table
 
 SYMBOLS = b"#*$%&|<>"
@@ -190,21 +190,25 @@ def filter_documents(
     """The rows that :func:`judge` keeps, without their frequent lines, all columns.
 
     ``length_col`` is set to the new length where lines went.  Rows that keep
-    all their lines never reach Python.
+    all their lines never reach Python.  Other columns pass unchanged, whatever
+    their names.
     """
     judged = judge(df, id_col, text_col, host_col, settings)
-    keys = F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("_host")
-    tagged = df.select("*", keys, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_key"))
-
-    def match(other: DataFrame):
-        key = (tagged["_host"] == other["host"]) & (tagged["_key"] == other["text_key"])
-        return key & tagged[id_col].eqNullSafe(other["id"])
-
-    touched = judged.where("not kept or removed is not null").select("id", "host", "text_key")
-    whole = tagged.join(touched, match(touched), "left_anti").drop("_host", "_key")
-    cut = judged.where("kept and removed is not null").dropDuplicates(["id", "host", "text_key"])
-    cut = cut.select("id", "host", "text_key", F.col("removed").alias("_removed"))
-    part = tagged.join(cut, match(cut), "inner")
-    part = part.withColumn(text_col, _without_lines(F.col(text_col), F.col("_removed")))
+    host, key, *found, gone = fresh(df, "_host", "_key", "_id", "_in_host", "_text_key", "_removed")
+    hosts = F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias(host)
+    tagged = df.select("*", hosts, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(key))
+    judged = judged.select(
+        *[F.col(c).alias(a) for c, a in zip(("id", "host", "text_key"), found)],
+        "kept",
+        F.col("removed").alias(gone),
+    )
+    of_row = F.col(id_col).eqNullSafe(F.col(found[0]))
+    of_row = of_row & (F.col(host) == F.col(found[1])) & (F.col(key) == F.col(found[2]))
+    lines_go = F.col(gone).isNotNull()
+    touched = judged.where(~F.col("kept") | lines_go).select(*found)
+    whole = tagged.join(touched, of_row, "left_anti").drop(host, key)
+    cut = judged.where(F.col("kept") & lines_go).dropDuplicates(found).select(*found, gone)
+    part = tagged.join(cut, of_row, "inner")
+    part = part.withColumn(text_col, _without_lines(F.col(text_col), F.col(gone)))
     part = part.withColumn(length_col, F.char_length(text_col).cast(df.schema[length_col].dataType))
     return whole.unionByName(part.select(*df.columns))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthscore.llm.common import ASCII_LOWER, hex64, lookup
+from hearthscore.llm.common import ASCII_LOWER, fresh, hex64, lookup
 from hearthscore.llm.components import components
 from hearthscore.session import stage_table
 
@@ -149,7 +149,8 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     The row with the smallest id stays, the smallest text hash among rows of
     one id; rows equal in id and text count as one row.  Only dropped and
-    repeated rows are looked up, so texts that stay need not shuffle.
+    repeated rows are looked up, so texts that stay need not shuffle.  Other
+    columns pass unchanged, whatever their names.
     """
     text_hash = F.xxhash64(F.col(text_col))
     rows = df.select(F.col(id_col).alias("id"), text_col, text_hash.alias("th"))
@@ -162,8 +163,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     out = judged.select("id", "th", "n", F.col("row").eqNullSafe(F.col("best")).alias("stays"))
     out = stage_table(out.where("not stays or n > 1"), "not_single")
     gone, twice = out.where("not stays"), out.where("stays")
-    tagged = df.withColumn("_th", text_hash)
-    key = lambda other: tagged[id_col].eqNullSafe(other["id"]) & (tagged["_th"] == other["th"])
+    (tag,) = fresh(df, "_th")
+    tagged = df.withColumn(tag, text_hash)
+    key = lambda other: tagged[id_col].eqNullSafe(other["id"]) & (tagged[tag] == other["th"])
     single = tagged.join(out, key(out), "left_anti")
-    again = tagged.join(twice, key(twice), "left_semi").dropDuplicates([id_col, "_th"])
-    return single.unionByName(again).drop("_th")
+    again = tagged.join(twice, key(twice), "left_semi").dropDuplicates([id_col, tag])
+    return single.unionByName(again).drop(tag)

@@ -231,6 +231,35 @@ def test_query_matches_sql(spark, sf, name):
     assert compare(spark, duck(sf), QUERIES[name], ORACLE[name], sf) is None
 
 
+CLASHES = ("id", "host", "text_key", "removed", "_host", "_key", "_removed", "_found", "_th", "th", "fp", "n",
+           "digest", "_digest", "maybe", "_maybe", "_chosen", "_at", "_range", "_first", "k", "u", "kept", "_id")
+
+
+def test_stages_pass_clashing_columns_unchanged(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"{rng.getrandbits(32):x}" for _ in range(n))
+    menu = "one shared menu line"
+    rows = [(i, f"{menu}\n{words(80)}", "en", "a", 0) for i in range(60)]
+    rows += [(100, rows[0][1], "en", "a", 0), (101, rows[1][1] + " x", "en", "a", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df = df.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id")).alias(c) for c in CLASHES])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, "")
+        assert out.columns == df.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"{c}-{r.doc_id}" for r in got for c in CLASHES), name
+        if name == "quality":
+            assert len(got) == len(rows) and all(menu not in r.text and r.n_chars == len(r.text) for r in got)
+        elif name == "exact_duplicates":
+            assert len(got) == len(rows) - 1
+    assert corpus_pipeline.STAGES[-1][1](spark, df, "").select("doc_id").distinct().count() == len(rows)
+    sized = df.withColumn("size", F.octet_length("text"))
+    shards = sharding.shard_rows(sized, 3, "size", F.xxhash64("text"), F.col("doc_id")).collect()
+    assert len(shards) == len(rows) and all(r[c] == f"{c}-{r.doc_id}" for r in shards for c in CLASHES)
+
+
 def test_pipeline_keeps_one_of_each(spark, sf):
     import corpus_pipeline
 
