@@ -24,12 +24,23 @@ def _sketch(value):
     return F.percentile_approx(value, grid, SKETCH_ACCURACY)
 
 
-def _narrow(points: list, rank: int, count: int):
-    """Grid neighbours that enclose ``rank`` with a margin of one grid step."""
+def _slack(x) -> int:
+    """What a long may lose in a sketch, which computes in doubles of 53 bits."""
+    return abs(x) >> 52 if isinstance(x, int) else 0
+
+
+def _narrow(points: list, rank: int, count: int, least, most):
+    """Grid neighbours that enclose ``rank`` with a margin of a grid step and two rows.
+
+    ``least`` and ``most`` bound the values exactly; beyond the grid they take over.
+    """
     at = rank / max(count - 1, 1) * GRID
-    low = points[max(math.floor(at) - 1, 0)]
-    high = points[min(math.ceil(at) + 1, GRID)]
-    return low, high
+    margin = 1 + math.ceil(2 * GRID / max(count - 1, 1))
+    low, high = math.floor(at) - margin, math.ceil(at) + margin
+    return (
+        max(least, points[low] - _slack(points[low])) if low > 0 else least,
+        min(most, points[high] + _slack(points[high])) if high < GRID else most,
+    )
 
 
 def order_statistics(
@@ -47,10 +58,13 @@ def order_statistics(
     long = df.select(F.col(group).alias("_g"), F.col(value).alias("_v")).filter("_v is not null")
     kind = long.schema["_v"].dataType.simpleString()
     head = long.groupBy("_g").agg(
-        F.count("_v").alias("n"), _sketch("_v").alias("points")
+        F.count("_v").alias("n"),
+        F.min("_v").alias("least"),
+        F.max("_v").alias("most"),
+        _sketch("_v").alias("points"),
     ).collect()
     found = {
-        (row["_g"], r): _narrow(row["points"], r, row["n"])
+        (row["_g"], r): _narrow(row["points"], r, row["n"], row["least"], row["most"])
         for row in head
         for r in ranks(row["_g"], row["n"])
     }
@@ -76,7 +90,7 @@ def order_statistics(
             if not s["below"] <= r < s["below"] + s["inside"]:
                 raise RuntimeError(f"rank {r} of {g} lies outside its interval")
             if s["inside"] > MAX_INTERVAL_ROWS and lo < hi:
-                closer = _narrow(s["points"], r - s["below"], s["inside"])
+                closer = _narrow(s["points"], r - s["below"], s["inside"], lo, hi)
                 if closer != (lo, hi):
                     narrower[g, r] = closer
         if not narrower:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -54,3 +56,23 @@ def test_running_sums_over_slices_with_a_heavy_value(spark):
     # the repeated value really is spread over several slices
     cut = df.repartitionByRange(16, F.desc("p"), F.col("id")).filter("p = 0.5")
     assert cut.select(F.spark_partition_id()).distinct().count() > 2
+
+
+def test_longs_beyond_the_precision_of_doubles(spark, monkeypatch):
+    rng = random.Random(4)
+    top = 2**60 - 1
+    groups = {
+        "small": [rng.randrange(top) for _ in range(150)],
+        "wide": [rng.randrange(top) for _ in range(5000)],
+        "tied": [top - 2] * 3000 + [top - 1] * 2000,
+        "close": [top - i % 700 for i in range(3000)],
+        "signed": [-(2**63), *(-rng.randrange(top) for _ in range(400)), 2**63 - 1],
+        "one": [top - 5],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v long").persist()
+    for limit in (q.MAX_INTERVAL_ROWS, 50):
+        monkeypatch.setattr(q, "MAX_INTERVAL_ROWS", limit)
+        wanted = {g: sorted({0, len(v) // 7, len(v) // 2, len(v) - 1}) for g, v in groups.items()}
+        got = q.order_statistics(df, "g", "v", lambda g, n: wanted[g])
+        assert got == {(g, r): sorted(groups[g])[r] for g, rs in wanted.items() for r in rs}
+    df.unpersist()
