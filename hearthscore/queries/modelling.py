@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hearthscore.config import SHORT_RUN
+from hearthscore.config import SHORT_RUN, Settings
 from hearthscore.operators import lookup as lk
 from hearthscore.operators import models as md
 from hearthscore.operators import segments as sg
@@ -25,31 +25,31 @@ def table(spark, sf_dir):
     return stage_table(features(spark, sf_dir), "features")
 
 
-def _one_classifier(name: str):
+def _one_classifier(name: str, settings: Settings = Settings()):
     def run(spark, sf_dir):
         _, scored = md.train_product(
-            table(spark, sf_dir), PRODUCT, src.PRODUCTS, SHORT_RUN, [name]
+            table(spark, sf_dir), PRODUCT, src.PRODUCTS, settings, [name]
         )
         return md.classification_summary(scored)
 
     return run
 
 
-def _one_regressor(name: str):
+def _one_regressor(name: str, settings: Settings = Settings()):
     def run(spark, sf_dir):
-        _, scored = md.train_cost_models(table(spark, sf_dir), src.PRODUCTS, SHORT_RUN, [name])
+        _, scored = md.train_cost_models(table(spark, sf_dir), src.PRODUCTS, settings, [name])
         return md.regression_summary(scored)
 
     return run
 
 
-query("train_gbt")(_one_classifier("boosted_trees"))
+query("train_gbt")(_one_classifier("boosted_trees", SHORT_RUN))
 query("train_forest")(_one_classifier("random_forest"))
 query("train_logistic")(_one_classifier("logistic_regression"))
 query("train_ridge")(_one_regressor("ridge"))
 query("train_huber")(_one_regressor("huber"))
 query("train_rf_regressor")(_one_regressor("random_forest"))
-query("train_gbt_regressor")(_one_regressor("gradient_boosting"))
+query("train_gbt_regressor")(_one_regressor("gradient_boosting", SHORT_RUN))
 
 
 @query("classification_summary")
