@@ -3,9 +3,11 @@
 Normalised lines are hashed; for each (host, line) the distinct documents are
 counted.  Copies must not make their own content look like boilerplate, so
 equal texts of a host count once, and a line only counts as boilerplate if at
-least four fifths of its documents are otherwise unrelated: their smallest other line
-hash differs.  Such lines are removed, and a document that little is left of is
-rejected.
+least four fifths of its documents are otherwise unrelated: the smallest hash of
+their lines that are not above the count limits themselves differs.  Header, menu
+and footer thus do not speak for each other.  Documents with hardly any such line
+are near copies and count as one.  Boilerplate lines are removed, and a document
+that little is left of is rejected.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ class LineSettings:
     min_docs: int = 20  # a removed line is in more documents of its host than this,
     min_doc_pct: int = 2  # and in more than this share of them,
     min_unrelated_pct: int = 80  # and this share of those are otherwise unrelated
+    min_own_pct: int = 11  # with less outside shared lines, two documents are 0.8 similar (Jaccard)
     min_left_pct: int = 30  # a document keeps at least this share of its words
 
 
@@ -112,28 +115,36 @@ def profiles(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     return stage_table(rows.mapInArrow(_profile, PROFILE_DDL), "profiles")
 
 
-def frequent_lines(profiled: DataFrame, s: LineSettings = LineSettings()) -> DataFrame:
-    """Staged ``host``, ``h``: lines above the limits.
+def shared_lines(texts: DataFrame, s: LineSettings) -> tuple[DataFrame, DataFrame]:
+    """Staged lines above the count limits: where they stand, and which of them are boilerplate.
 
-    Every count combines in the map tasks before it shuffles, so neither a hot
-    host nor a line found everywhere lands in one task.
+    ``texts`` is staged, one row per host and text.  First come all places
+    (host, text_key, h, w) of lines above the limits, then the lines (host, h)
+    whose documents differ in what is not such a line.  Every count combines in
+    the map tasks before it shuffles, so neither a hot host nor a line found
+    everywhere lands in one task.
     """
-    texts = profiled.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    texts = stage_table(texts, "texts")
     hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    # The two smallest line hashes: the smallest one other than a given line.
-    low, next_low = F.get("lines", F.lit(0))["h"], F.get("lines", F.lit(1))["h"]
-    found = texts.select("host", low.alias("low"), next_low.alias("next"), F.explode("lines.h").alias("h"))
-    other = F.when(F.col("h") == F.col("low"), F.col("next")).otherwise(F.col("low"))
-    kin = found.groupBy("host", "h", other.alias("other")).agg(F.count(F.lit(1)).alias("n"))
-    lines = kin.groupBy("host", "h").agg(
-        F.sum("n").alias("docs"), F.count(F.lit(1)).alias("unrelated")
-    )
-    lines = stage_table(lines.where(F.col("docs") > s.min_docs), "common_lines")
-    lines = lookup(lines, hosts, ["host"], "inner")
+    lines = stage_table(texts.select("host", "text_key", F.explode("lines").alias("l")), "lines")
+    lines = lines.select("host", "text_key", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
+    common = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
+    common = stage_table(common.where(F.col("docs") > s.min_docs), "common_lines")
     above = F.col("docs") * 100 > F.col("host_docs") * s.min_doc_pct
+    common = stage_table(lookup(common, hosts, ["host"], "inner").where(above).select("host", "h"), "above")
+    places = stage_table(lookup(lines, common, ["host", "h"], "inner"), "places")
+    per_text = places.groupBy("host", "text_key").agg(
+        F.collect_list("h").alias("shared"), F.sum("w").alias("shared_words")
+    )
+    # What is left of a text says whether it is related; little left says nothing.
+    enough = (F.col("n_words") - F.col("shared_words")) * 100 >= F.col("n_words") * s.min_own_pct
+    other = F.when(enough, F.array_min(F.array_except("lines.h", "shared")))
+    found = texts.join(per_text, ["host", "text_key"]).select(
+        "host", other.alias("other"), F.explode("shared").alias("h")
+    )
+    kin = found.groupBy("host", "h", "other").agg(F.count(F.lit(1)).alias("n"))
+    kin = kin.groupBy("host", "h").agg(F.sum("n").alias("docs"), F.count(F.lit(1)).alias("unrelated"))
     mixed = F.col("unrelated") * 100 >= F.col("docs") * s.min_unrelated_pct
-    return stage_table(lines.where(above & mixed).select("host", "h"), "frequent_lines")
+    return places, stage_table(kin.where(mixed).select("host", "h"), "frequent_lines")
 
 
 def judge(
@@ -153,11 +164,11 @@ def judge(
     """
     s = settings
     rows = profiles(df, id_col, text_col, host_col)
-    frequent = frequent_lines(rows, s)
-    texts = rows.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    lines = stage_table(texts.select("host", "text_key", F.explode("lines").alias("l")), "lines")
-    lines = lines.select("host", "text_key", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
-    removed = lookup(lines, frequent, ["host", "h"], "inner").groupBy("host", "text_key").agg(
+    texts = rows.groupBy("host", "text_key").agg(
+        F.first("lines").alias("lines"), F.first("n_words").alias("n_words")
+    )
+    places, frequent = shared_lines(stage_table(texts, "texts"), s)
+    removed = lookup(places, frequent, ["host", "h"], "inner").groupBy("host", "text_key").agg(
         F.sum("w").alias("n_removed_words"), F.sort_array(F.collect_list("h")).alias("removed")
     )
     removed = stage_table(removed, "removed")

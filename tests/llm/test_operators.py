@@ -125,6 +125,21 @@ def test_line_quality(spark, odd):
     assert line_quality.filter_documents(df.limit(0)).count() == 0
 
 
+def test_line_quality_of_several_shared_lines(spark):
+    rng = random.Random(6)
+    words = lambda n: " ".join(f"{rng.getrandbits(40):x}" for _ in range(n))
+    shared = [words(n) for n in (12, 30, 8, 25, 15)]
+    text = lambda own: "\n".join([*shared[:3], words(own), *shared[3:]])
+    rows = [(i, text(80), "a") for i in range(60)] + [(100 + i, text(20), "a") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df = df.withColumn("n_chars", F.length("text"))
+    out = {r.id: r for r in line_quality.judge(df).collect()}
+    assert all(r.n_removed_words == 90 for r in out.values())
+    assert all(out[i].kept and not out[100 + i].kept for i in range(60))  # 20 of 110 words: depleted
+    left = line_quality.filter_documents(df).collect()
+    assert len(left) == 60 and all("\n" not in r.text for r in left)
+
+
 def test_language(odd, spark):
     train = spark.createDataFrame(
         [(1, "the cat and the dog went to the house", "en"), (2, "der hund und die katze gehen in das haus", "de"),
