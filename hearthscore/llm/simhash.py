@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hearthscore.llm import minhash
 from hearthscore.llm.common import ASCII_LOWER, fresh, hex64, lookup
 from hearthscore.llm.components import components
 from hearthscore.session import stage_table
@@ -145,7 +146,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` left when one row of each component stays.
+    """The rows of ``df`` left when one row of each group of similar texts stays.
+
+    Texts are linked from a similarity of 0.8 of their 5-word shingles on (see
+    ``minhash``), not by their fingerprints.
 
     The row with the smallest id stays, the smallest text hash among rows of
     one id; rows equal in id and text count as one row.  Only dropped and
@@ -154,10 +158,11 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     text_hash = F.xxhash64(F.col(text_col))
     rows = df.select(F.col(id_col).alias("id"), text_col, text_hash.alias("th"))
-    rows = with_fingerprint(rows, text_col, "fp").select("id", "th", "fp")
-    rows = stage_table(rows.groupBy("id", "th", "fp").agg(F.count(F.lit(1)).alias("n")), "simhash")
+    found = stage_table(minhash.roots(rows, "th", text_col), "near")
+    rows = stage_table(rows.groupBy("id", "th").agg(F.count(F.lit(1)).alias("n")), "rows")
     rows = rows.withColumn("row", F.struct(F.col("id").isNull().alias("none"), "id", "th"))
-    classed = stage_table(lookup(rows, _classes(rows), ["fp"], "inner"), "classed")
+    rows = lookup(rows, found.withColumnRenamed("node", "th"), ["th"], "left")
+    classed = stage_table(rows.withColumn("root", F.coalesce("root", "th")), "classed")
     best = classed.groupBy("root").agg(F.min("row").alias("best"))
     judged = lookup(classed, best, ["root"], "inner")
     out = judged.select("id", "th", "n", F.col("row").eqNullSafe(F.col("best")).alias("stays"))

@@ -78,6 +78,35 @@ def test_near_duplicates(odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_near_duplicate_stage_against_brute_force(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    word = lambda: f"{rng.getrandbits(32):x}"
+    passage = [word() for _ in range(40)]
+    texts = [[*passage, *(word() for _ in range(40))] for _ in range(80)]  # one passage in many texts
+    for n in (12, 50, 100, 300) * 15:
+        first = [word() for _ in range(n)]
+        texts.append(first)
+        for _ in range(3):
+            copy = list(first)
+            for i in rng.sample(range(n), max(1, n * rng.choice((1, 2, 4)) // 100)):
+                copy[i] = word()
+            texts.append(copy)
+    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
+    root = list(range(len(texts)))
+    near = 0
+    for i, j in itertools.combinations(root[:], 2):
+        both = len(sets[i] & sets[j])
+        if 5 * both >= 4 * len(sets[i] | sets[j]):
+            near += 1
+            a, b = sorted((root[i], root[j]))
+            root = [a if r == b else r for r in root]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert near > 60 and {r.doc_id for r in out.collect()} == set(root)
+
+
 def test_best_boundaries_against_all_choices():
     rng = np.random.default_rng(1)
     for _ in range(20):
