@@ -46,6 +46,17 @@ def test_sharding(spark, odd):
     assert sharding.shard_rows(even.limit(0), 8, "size", F.col("g"), F.col("id")).count() == 0
 
 
+def test_sharding_with_one_large_row(spark):
+    rows = spark.range(20000).selectExpr(
+        "id", "if(id % 3 = 0, -1, id) as g", "cast(if(id = 500, 2400, 10 + id % 5) as long) as size"
+    )
+    sums = collections.Counter()
+    for r in sharding.shard_rows(rows, 24, "size", F.col("g"), F.col("id")).collect():
+        sums[r.shard] += r["size"]
+    share = sum(sums.values()) / 24
+    assert len(sums) == 24 and max(abs(n - share) for n in sums.values()) < 0.021 * share
+
+
 def test_links_and_components(spark):
     rng = random.Random(3)
     marks = [rng.getrandbits(64) for _ in range(300)]
