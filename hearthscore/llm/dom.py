@@ -10,13 +10,15 @@ from dataclasses import dataclass, field
 import numpy as np
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set(
-    "script style title textarea noscript iframe template xmp noembed noframes svg select"
-    " datalist object canvas audio video math".split()
-)
+RAW = set("script style title textarea noscript iframe template xmp noembed noframes".split())
+# Elements whose text is not shown as text; a tag of TAG_GROUPS ends them if they were left open.
+UNSEEN = set("svg select datalist object canvas audio video annotation annotation-xml".split())
+# Tags that may stand in a head; any other closes it.
+HEAD = set("html head title base link meta style script noscript template".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rt"
-    " rp s samp small span strike strong sub sup time tt u var br wbr img nobr".split()
+    " rp s samp small span strike strong sub sup time tt u var br wbr img nobr math mfrac mi mn mo mover"
+    " mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 # An opening tag of the key ends an open element of the value, unless a stopper is between.
 ENDS = {
@@ -49,6 +51,7 @@ TAG_GROUPS = [
     {"form", "fieldset"},
     {"blockquote", "pre", "figure", "figcaption"},
 ]
+BLOCKS = set().union(*TAG_GROUPS, {"body"})
 NOT_MAIN_TAGS = {"nav", "menu", "aside", "footer", "form", "fieldset", "dialog"}
 MAIN_TOKENS = set("article main content post entry story body text page prose hentry".split())
 OTHER_TOKENS = [
@@ -68,7 +71,7 @@ OTHER_TOKENS = [
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(
-    r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style|data-y)\b(?:\s*=\s*"
+    r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style|data-y)(?![\w-])(?:\s*=\s*"
     r"(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
     re.I,
 )
@@ -98,12 +101,12 @@ class Page:
     runs: list[tuple[int, int, str]] = field(default_factory=list)
 
 
-def _tokens(attributes: str) -> tuple[list[str], int | None]:
+def _tokens(attributes: str, marked: bool) -> tuple[list[str], int | None]:
     tokens, label = [], None
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "data-y":
-            label = int(value)
+            label = int(value) if marked else None
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             tokens.append("hidden")
         elif name == "style":
@@ -114,17 +117,23 @@ def _tokens(attributes: str) -> tuple[list[str], int | None]:
     return tokens, label
 
 
-def parse(source: str) -> Page:
-    """Tolerant parse: unclosed and stray tags, cut-off input, comments and raw text are handled."""
+def parse(source: str, marked: bool = True) -> Page:
+    """Tolerant parse: unclosed and stray tags, cut-off input, comments and raw text are handled.
+
+    Only a ``marked`` page, one made for training, has its ``data-y`` labels read.
+    """
     page = Page()
     elements, runs = page.elements, page.runs
     elements.append(Element("#page", -1, 0, []))
     stack: list[tuple[str, int]] = [("#page", 0)]  # open tags with their nearest element
-    block, at, end, links = 0, 0, len(source), 0
+    block, at, end, links, unseen = 0, 0, len(source), 0, 0
 
     def text(raw: str) -> None:
-        if any(tag == "head" for tag, _ in stack[:3]):
+        if unseen:
             return
+        if in_head() and not raw.strip():
+            return
+        close_head()
         words = html.unescape(raw) if "&" in raw else raw
         runs.append((block, stack[-1][1], words))
         e = elements[stack[-1][1]]
@@ -135,13 +144,25 @@ def parse(source: str) -> Page:
             e.marks += sum(words.count(c) for c in SENTENCE_MARKS)
 
     def pop_to(depth: int) -> None:
-        nonlocal block, links
+        nonlocal block, links, unseen
+        unseen -= sum(tag in UNSEEN for tag, _ in stack[depth:])
+        hides = unseen > 0
         for tag, _ in stack[depth:]:
             links -= tag == "a"
-            if tag not in INLINE:
+            hides = hides or tag in UNSEEN
+            if tag not in INLINE and not hides:
                 block += 1
         del stack[depth:]
 
+    def in_head() -> bool:
+        return any(tag == "head" for tag, _ in stack[:3])
+
+    def close_head() -> None:
+        for i, (tag, _) in enumerate(stack[:3]):
+            if tag == "head":
+                pop_to(i)
+                break
+
     while at < end:
         lt = source.find("<", at)
         if lt < 0:
@@ -176,13 +197,17 @@ def parse(source: str) -> Page:
                 if tag in INLINE and stack[i][0] not in INLINE:
                     break
             continue
+        if tag not in HEAD:
+            close_head()
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
             if not attributes.rstrip().endswith("/"):
                 at = close.end() if close else end
-            if tag in ("textarea", "select"):
+            if tag == "textarea":
                 elements[stack[-1][1]].inputs += 1
             continue
+        if unseen and tag in BLOCKS:
+            pop_to(next(i for i, (t, _) in enumerate(stack) if t in UNSEEN))
         if tag in VOID:
             if tag in ("br", "hr"):
                 runs.append((block, stack[-1][1], " "))
@@ -190,6 +215,14 @@ def parse(source: str) -> Page:
             elif tag == "input":
                 elements[stack[-1][1]].inputs += 1
             continue
+        if unseen or tag in UNSEEN:
+            if tag == "select":
+                elements[stack[-1][1]].inputs += 1
+            if not attributes.rstrip().endswith("/"):
+                links += tag == "a"
+                unseen += tag in UNSEEN
+                stack.append((tag, stack[-1][1]))
+            continue
         inline = tag in INLINE
         if not inline:
             for i in range(len(stack) - 1, 0, -1):
@@ -204,7 +237,7 @@ def parse(source: str) -> Page:
             if stack[i][0] in ENDS.get(tag, ()):
                 pop_to(i)
                 break
-        tokens, label = _tokens(attributes) if attributes else ([], None)
+        tokens, label = _tokens(attributes, marked) if attributes else ([], None)
         owner = stack[-1][1]
         if tag == "button":
             elements[owner].inputs += 1

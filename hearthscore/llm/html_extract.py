@@ -177,7 +177,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         rows = []
         for seed, source in pylists(batch):
-            page = dom.parse(source or "")
+            page = dom.parse(source or "", marked=False)
             labels = _weak_labels(page)
             paragraphs = [b for b in dom.blocks(page, [bool(x) for x in labels]) if len(b) > 40]
             examples = [(page, labels)]
@@ -240,7 +240,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train
 
 def main_texts(model: TreeEnsemble, sources: list[str | None]) -> list[str]:
     """Main text of each page, blocks joined by an empty line; empty for null or empty pages."""
-    pages = [dom.parse(s or "") for s in sources]
+    pages = [dom.parse(s or "", marked=False) for s in sources]
     if not pages:
         return []
     x = [dom.features(p) for p in pages]

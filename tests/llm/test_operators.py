@@ -277,6 +277,23 @@ def test_html(spark):
     assert out[90] == out[91] == ""
 
 
+def test_html_of_real_pages():
+    def texts(source):
+        page = dom.parse(source, marked=False)
+        return dom.blocks(page, [True] * len(page.elements))
+
+    for attribute in ('data-y="12.5"', "data-y", 'data-y-offset="5"'):
+        assert texts(f"<p {attribute}>a</p>") == ["a"]
+    assert dom.parse('<p data-y="0">a').elements[1].label == 0
+    assert dom.parse('<p data-y-offset="5">a').elements[1].label is None
+    assert texts("<html><head><title>t</title><meta charset=x>\n<div>a</div><p>b") == ["a", "b"]
+    assert texts("<head><link href=x> bare text<p>b") == ["bare text", "b"]
+    for tag in "svg select object canvas math audio video".split():
+        assert texts(f"<p>a</p><{tag}><p>b</p><p>c</p>") == ["a", "b", "c"], tag
+    assert texts("<p>a <svg><path d=x /><text>n</text></svg>b <select><option>n</select>c") == ["a b c"]
+    assert texts("<p>so <math><mi>x</mi><mo>+</mo><mn>1</mn></math> it is</p>") == ["so x+1 it is"]
+
+
 @pytest.mark.parametrize("name", ["op2_line_quality", "op9_exact_dedup"])
 def test_query_matches_sql(spark, sf, name):
     from compare import compare, duck
