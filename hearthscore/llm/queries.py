@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthscore.llm import chat, exact_dedup, html_extract, langid, licenses, line_quality
-from hearthscore.llm import packing, pieces, sharding, simhash
+from hearthscore.llm import chat, exact_dedup, filter_audit, html_extract, langid, licenses
+from hearthscore.llm import line_quality, packing, pieces, sharding, simhash
 from hearthscore.llm.oracles import ORACLE as ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return licenses.scan_licenses(docs, licenses.fit_index(docs))
+
+
+@query("op13_filter_audit")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
