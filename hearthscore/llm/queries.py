@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthscore.llm import chat, exact_dedup, filter_audit, html_extract, langid, licenses
-from hearthscore.llm import line_quality, packing, pieces, sharding, simhash, whitening
+from hearthscore.llm import line_quality, nn_descent, packing, pieces, sharding, simhash
+from hearthscore.llm import whitening
 from hearthscore.llm.oracles import ORACLE as ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +120,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_embedding_dedup")
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op13_filter_audit")
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
