@@ -75,6 +75,7 @@ ATTRIBUTE = re.compile(
     r"(\"[^\"]*\"|'[^']*'|[^\s>]+))?",
     re.I,
 )
+COMMENT_END = re.compile(r"--!?>")
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SENTENCE_MARKS = ".,;:!?"
 
@@ -121,12 +122,26 @@ def parse(source: str, marked: bool = True) -> Page:
     """Tolerant parse: unclosed and stray tags, cut-off input, comments and raw text are handled.
 
     Only a ``marked`` page, one made for training, has its ``data-y`` labels read.
+    The places of the open tags are kept by name, so the time is in proportion to
+    the source however deep it nests.
     """
     page = Page()
     elements, runs = page.elements, page.runs
     elements.append(Element("#page", -1, 0, []))
     stack: list[tuple[str, int]] = [("#page", 0)]  # open tags with their nearest element
     block, at, end, links, unseen = 0, 0, len(source), 0, 0
+    opened: dict[str, list[int]] = {}  # places in the stack, by tag
+    outer = [0]  # places of the tags that are not inline
+
+    def push(tag: str, owner: int) -> None:
+        opened.setdefault(tag, []).append(len(stack))
+        if tag not in INLINE:
+            outer.append(len(stack))
+        stack.append((tag, owner))
+
+    def last(tags) -> int:
+        """Place of the innermost open tag of ``tags``, 0 if there is none."""
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
 
     def text(raw: str) -> None:
         if unseen:
@@ -152,6 +167,10 @@ def parse(source: str, marked: bool = True) -> Page:
             hides = hides or tag in UNSEEN
             if tag not in INLINE and not hides:
                 block += 1
+        for tag, _ in reversed(stack[depth:]):
+            opened[tag].pop()
+            if tag not in INLINE:
+                outer.pop()
         del stack[depth:]
 
     def in_head() -> bool:
@@ -171,8 +190,9 @@ def parse(source: str, marked: bool = True) -> Page:
         if lt > at:
             text(source[at:lt])
         if source.startswith("<!--", lt):
-            close = source.find("-->", lt + 4)
-            at = end if close < 0 else close + 3
+            empty = re.match("-?>", source[lt + 4 : lt + 6])
+            close = COMMENT_END.search(source, lt + 4)
+            at = lt + 4 + empty.end() if empty else close.end() if close else end
             continue
         if source.startswith(("<!", "<?", "</"), lt) and not source[lt + 2 : lt + 3].isalpha() or (
             source.startswith(("<!", "<?"), lt)
@@ -190,12 +210,9 @@ def parse(source: str, marked: bool = True) -> Page:
         at = match.end()
         closing, tag, attributes = match.group(1), match.group(2).lower(), match.group(3)
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    pop_to(i)
-                    break
-                if tag in INLINE and stack[i][0] not in INLINE:
-                    break
+            place = last([tag])
+            if place and (tag not in INLINE or place > outer[-1]):
+                pop_to(place)
             continue
         if tag not in HEAD:
             close_head()
@@ -207,7 +224,7 @@ def parse(source: str, marked: bool = True) -> Page:
                 elements[stack[-1][1]].inputs += 1
             continue
         if unseen and tag in BLOCKS:
-            pop_to(next(i for i, (t, _) in enumerate(stack) if t in UNSEEN))
+            pop_to(min(opened[t][0] for t in UNSEEN if opened.get(t)))
         if tag in VOID:
             if tag in ("br", "hr"):
                 runs.append((block, stack[-1][1], " "))
@@ -221,22 +238,13 @@ def parse(source: str, marked: bool = True) -> Page:
             if not attributes.rstrip().endswith("/"):
                 links += tag == "a"
                 unseen += tag in UNSEEN
-                stack.append((tag, stack[-1][1]))
+                push(tag, stack[-1][1])
             continue
         inline = tag in INLINE
-        if not inline:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in PARAGRAPH_STOPS:
-                    break
-                if stack[i][0] == "p":
-                    pop_to(i)
-                    break
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in STOPS:
-                break
-            if stack[i][0] in ENDS.get(tag, ()):
-                pop_to(i)
-                break
+        if not inline and (place := last(["p"])) > last(PARAGRAPH_STOPS):
+            pop_to(place)
+        if tag in ENDS and (place := last(ENDS[tag])) > last(STOPS):
+            pop_to(place)
         tokens, label = _tokens(attributes, marked) if attributes else ([], None)
         owner = stack[-1][1]
         if tag == "button":
@@ -250,7 +258,7 @@ def parse(source: str, marked: bool = True) -> Page:
             elements.append(Element(tag, owner, parent.depth + 1, tokens, label))
             owner = len(elements) - 1
         links += tag == "a"
-        stack.append((tag, owner))
+        push(tag, owner)
     return page
 
 

@@ -33,22 +33,40 @@ def _slots(digest: Column, bits: int, hashes: int) -> list[Column]:
 
 def repeat_filter(digests: DataFrame, digest: str, rows: int, hashes: int = HASHES):
     """Bitmaps of the slots hit at least twice, staged, and the filter's size in bits."""
+    bits = _size(rows)
+    hit = _hits(digests, digest, bits, hashes)
+    twice = hit.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return stage_table(_bitmaps(twice), "repeat_filter"), bits
+
+
+def member_filter(keys: DataFrame, key: str, hashes: int = HASHES):
+    """Bitmaps of the slots of all ``keys`` (a staged table), staged, and the filter's size in bits."""
+    bits = _size(keys.count())
+    return stage_table(_bitmaps(_hits(keys, key, bits, hashes)), "member_filter"), bits
+
+
+def _size(rows: int) -> int:
     bits = MAP_BITS
     while bits < rows * BITS_PER_ROW and bits < MAX_FILTER_BITS:
         bits *= 2
-    slots = F.array_distinct(F.array(*_slots(F.col(digest), bits, hashes)))
-    hit = digests.select(F.explode(slots).alias("slot"))
-    twice = hit.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    maps = twice.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(
+    return bits
+
+
+def _hits(keys: DataFrame, key: str, bits: int, hashes: int) -> DataFrame:
+    slots = F.array_distinct(F.array(*_slots(F.col(key), bits, hashes)))
+    return keys.select(F.explode(slots).alias("slot"))
+
+
+def _bitmaps(slots: DataFrame) -> DataFrame:
+    return slots.groupBy(F.bitmap_bucket_number("slot").alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("_map")
     )
-    return stage_table(maps, "repeat_filter"), bits
 
 
 def maybe_repeated(
     df: DataFrame, digest: str, bitmaps: DataFrame, bits: int, flag: str, hashes: int = HASHES
 ) -> DataFrame:
-    """Add ``flag``: false only if the digest is certainly unique."""
+    """Add ``flag``: false only if the filter certainly does not hold the digest."""
     found = F.lit(True)
     for k, slot in enumerate(_slots(F.col(digest), bits, hashes)):
         maps = bitmaps.select(

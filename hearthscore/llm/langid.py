@@ -55,14 +55,15 @@ class LanguageModel:
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per code point: is a letter (or a mark within words), its lower case, its script."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per code point: is a letter or a mark, is a mark, its lower case, its script."""
     n = sys.maxunicode + 1
-    letter, lower = np.zeros(n, dtype=bool), np.arange(n, dtype=np.uint32)
+    letter, mark, lower = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool), np.arange(n, dtype=np.uint32)
     for c in range(n):
         ch = chr(c)
-        if unicodedata.category(ch)[0] in "LM":
-            letter[c] = True
+        kind = unicodedata.category(ch)[0]
+        if kind in "LM":
+            letter[c], mark[c] = True, kind == "M"
             small = ch.lower()
             if len(small) == 1:
                 lower[c] = ord(small)
@@ -70,19 +71,27 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for i, ranges in enumerate(SCRIPTS.values()):
         for a, b in ranges:
             script[a : b + 1] = i
-    return letter, lower, script
+    return letter, mark, lower, script
 
 
 def _word_grams(text: str):
-    """Of all words (letter runs): start, length, script, and trigram hashes with their word.
+    """Of all words (a letter, then letters and marks): start, length, script, and trigram hashes.
 
     Each word is padded with one mark on both sides.
     """
-    letter, lower, script = _tables()
+    letter, mark, lower, script = _tables()
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     inside = np.concatenate(([False], letter[codes], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
+    if mark[codes[starts]].any():  # marks before the first letter belong to no word
+        letters = np.append(np.flatnonzero(letter[codes] & ~mark[codes]), len(codes))
+        first = letters[np.searchsorted(letters, starts)]
+        starts, ends = first[first < ends], ends[first < ends]
+        steps = np.zeros(len(codes) + 2, dtype=np.int8)
+        steps[starts + 1] = 1
+        steps[ends + 1] = -1
+        inside = np.cumsum(steps) > 0
     lengths = ends - starts
     padded = np.zeros(len(codes) + 2, dtype=np.uint32)
     padded[1:-1] = np.where(inside[1:-1], lower[codes], 0)

@@ -1,13 +1,10 @@
 """Quality rules: per-text measures and lines that many documents of a host share.
 
 Normalised lines are hashed; for each (host, line) the distinct documents are
-counted.  Copies must not make their own content look like boilerplate, so
-equal texts of a host count once, and a line only counts as boilerplate if at
-least four fifths of its documents are otherwise unrelated: the smallest hash of
-their lines that are not above the count limits themselves differs.  Header, menu
-and footer thus do not speak for each other.  Documents with hardly any such line
-are near copies and count as one.  Boilerplate lines are removed, and a document
-that little is left of is rejected.
+counted and lines above the limits go.  Copies must not make their own content
+look like boilerplate, so documents whose SimHash fingerprints are linked, equal
+texts included, count once, as one document of their host.  A document that
+little is left of is rejected.
 """
 
 from __future__ import annotations
@@ -23,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthscore.llm.common import ASCII_LOWER, batch_of, fresh, lookup, pylists
+from hearthscore.llm.exact_dedup import maybe_repeated, member_filter
+from hearthscore.llm.simhash import fingerprint, roots_of
 from hearthscore.session import stage_table
 
 SYMBOLS = b"#*$%&|<>"
@@ -34,9 +33,7 @@ class LineSettings:
     min_words: int = 50
     max_repeat_pct: int = 50  # words in repeated 3-word windows, of all words
     min_docs: int = 20  # a removed line is in more documents of its host than this,
-    min_doc_pct: int = 2  # and in more than this share of them,
-    min_unrelated_pct: int = 80  # and this share of those are otherwise unrelated
-    min_own_pct: int = 11  # with less outside shared lines, two documents are 0.8 similar (Jaccard)
+    min_doc_pct: int = 2  # and in more than this share of them; linked copies count once
     min_left_pct: int = 30  # a document keeps at least this share of its words
 
 
@@ -79,12 +76,13 @@ PROFILE = pa.schema(
         ("id", pa.int64()),
         ("host", pa.string()),
         ("text_key", pa.int64()),
+        ("fp", pa.int64()),
         *[(c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         ("lines", pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int32())]))),
     ]
 )
 PROFILE_DDL = (
-    "id long, host string, text_key long, n_words long, word_chars long, n_symbols long,"
+    "id long, host string, text_key long, fp long, n_words long, word_chars long, n_symbols long,"
     " n_dup_lines long, n_repeat_words long, lines array<struct<h:long,w:int>>"
 )
 
@@ -100,7 +98,9 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if h is not None:
                     words[h] = words.get(h, 0) + len(line.split())
             lines = [{"h": h, "w": w} for h, w in sorted(words.items())]
-            rows.append((doc, host, key, *measures(text), lines))
+            fp = fingerprint(text)
+            fp -= (fp >> 63) << 64  # as a long
+            rows.append((doc, host, key, fp, *measures(text), lines))
         yield batch_of(PROFILE, rows)
 
 
@@ -115,36 +115,33 @@ def profiles(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
     return stage_table(rows.mapInArrow(_profile, PROFILE_DDL), "profiles")
 
 
-def shared_lines(texts: DataFrame, s: LineSettings) -> tuple[DataFrame, DataFrame]:
-    """Staged lines above the count limits: where they stand, and which of them are boilerplate.
+def shared_lines(rows: DataFrame, s: LineSettings) -> tuple[DataFrame, DataFrame]:
+    """Staged: places (host, text_key, h, w) of lines in many rows, and the frequent lines (host, h).
 
-    ``texts`` is staged, one row per host and text.  First come all places
-    (host, text_key, h, w) of lines above the limits, then the lines (host, h)
-    whose documents differ in what is not such a line.  Every count combines in
-    the map tasks before it shuffles, so neither a hot host nor a line found
-    everywhere lands in one task.
+    ``rows`` are the staged profiles.  A line counts once for each group of linked
+    fingerprints of its host.  Every count combines in the map tasks before it
+    shuffles, so neither a hot host nor a line found everywhere lands in one task.
     """
-    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    lines = stage_table(texts.select("host", "text_key", F.explode("lines").alias("l")), "lines")
-    lines = lines.select("host", "text_key", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
-    common = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("docs"))
-    common = stage_table(common.where(F.col("docs") > s.min_docs), "common_lines")
+    lines = rows.select("host", "text_key", "fp", F.explode("lines").alias("l"))
+    lines = lines.select("host", "text_key", "fp", F.col("l.h").alias("h"), F.col("l.w").alias("w"))
+    lines = stage_table(lines, "lines")
+    common = lines.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
+    common = stage_table(common.where(F.col("n") > s.min_docs).select("host", "h"), "common_lines")
+    places = lookup(lines, common, ["host", "h"], "inner").distinct()
+    places = stage_table(places, "places")
+    roots = roots_of(rows)
+
+    def documents(df: DataFrame, *keys: str) -> DataFrame:
+        found = lookup(stage_table(df.distinct(), "prints"), roots, ["fp"], "left")
+        found = found.select(*keys, F.coalesce("root", "fp").alias("root")).distinct()
+        return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("docs"))
+
+    hosts = documents(rows.select("host", "fp"), "host").withColumnRenamed("docs", "host_docs")
+    counted = documents(places.select("host", "h", "fp"), "host", "h")
+    counted = stage_table(counted.where(F.col("docs") > s.min_docs), "counted_lines")
     above = F.col("docs") * 100 > F.col("host_docs") * s.min_doc_pct
-    common = stage_table(lookup(common, hosts, ["host"], "inner").where(above).select("host", "h"), "above")
-    places = stage_table(lookup(lines, common, ["host", "h"], "inner"), "places")
-    per_text = places.groupBy("host", "text_key").agg(
-        F.collect_list("h").alias("shared"), F.sum("w").alias("shared_words")
-    )
-    # What is left of a text says whether it is related; little left says nothing.
-    enough = (F.col("n_words") - F.col("shared_words")) * 100 >= F.col("n_words") * s.min_own_pct
-    other = F.when(enough, F.array_min(F.array_except("lines.h", "shared")))
-    found = texts.join(per_text, ["host", "text_key"]).select(
-        "host", other.alias("other"), F.explode("shared").alias("h")
-    )
-    kin = found.groupBy("host", "h", "other").agg(F.count(F.lit(1)).alias("n"))
-    kin = kin.groupBy("host", "h").agg(F.sum("n").alias("docs"), F.count(F.lit(1)).alias("unrelated"))
-    mixed = F.col("unrelated") * 100 >= F.col("docs") * s.min_unrelated_pct
-    return places, stage_table(kin.where(mixed).select("host", "h"), "frequent_lines")
+    frequent = lookup(counted, hosts, ["host"], "inner").where(above).select("host", "h")
+    return places.drop("fp"), stage_table(frequent, "frequent_lines")
 
 
 def judge(
@@ -164,15 +161,12 @@ def judge(
     """
     s = settings
     rows = profiles(df, id_col, text_col, host_col)
-    texts = rows.groupBy("host", "text_key").agg(
-        F.first("lines").alias("lines"), F.first("n_words").alias("n_words")
-    )
-    places, frequent = shared_lines(stage_table(texts, "texts"), s)
+    places, frequent = shared_lines(rows, s)
     removed = lookup(places, frequent, ["host", "h"], "inner").groupBy("host", "text_key").agg(
         F.sum("w").alias("n_removed_words"), F.sort_array(F.collect_list("h")).alias("removed")
     )
     removed = stage_table(removed, "removed")
-    joined = lookup(rows.drop("lines"), removed, ["host", "text_key"], "left")
+    joined = lookup(rows.drop("lines", "fp"), removed, ["host", "text_key"], "left")
     gone = F.coalesce(F.col("n_removed_words"), F.lit(0)).cast("long")
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * s.max_repeat_pct
     left = (F.col("n_words") - gone) * 100 >= F.col("n_words") * s.min_left_pct
@@ -200,26 +194,34 @@ def filter_documents(
 ) -> DataFrame:
     """The rows that :func:`judge` keeps, without their frequent lines, all columns.
 
-    ``length_col`` is set to the new length where lines went.  Rows that keep
-    all their lines never reach Python.  Other columns pass unchanged, whatever
-    their names.
+    ``length_col`` is set to the new length where lines went.  Only rejected rows
+    and rows that lose lines shuffle: a filter of their keys lets the others pass
+    where they lie.  Nulls, repeated rows and empty tables as in :func:`judge`;
+    other columns pass unchanged, whatever their names.
     """
     judged = judge(df, id_col, text_col, host_col, settings)
-    host, key, *found, gone = fresh(df, "_host", "_key", "_id", "_in_host", "_text_key", "_removed")
-    hosts = F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias(host)
-    tagged = df.select("*", hosts, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(key))
+    judged = judged.where(~F.col("kept") | F.col("removed").isNotNull()).dropDuplicates(["id", "host", "text_key"])
+    names = ("_host", "_key", "_probe", "_maybe", "_id", "_in_host", "_text_key", "_kept", "_removed")
+    host, key, probe, flag, *found, kept, gone = fresh(df, *names)
     judged = judged.select(
         *[F.col(c).alias(a) for c, a in zip(("id", "host", "text_key"), found)],
-        "kept",
+        F.col("kept").alias(kept),
         F.col("removed").alias(gone),
     )
-    of_row = F.col(id_col).eqNullSafe(F.col(found[0]))
+    of = lambda *c: F.xxhash64(F.lit(0), *c)
+    judged = stage_table(judged.withColumn(probe, of(*found)), "touched")
+    bitmaps, bits = member_filter(judged, probe)
+    judged = judged.drop(probe)
+    hosts = F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias(host)
+    tagged = df.select("*", hosts, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias(key))
+    tagged = tagged.withColumn(probe, of(F.col(id_col).cast("long"), host, key))
+    tagged = maybe_repeated(tagged, probe, bitmaps, bits, flag)
+    whole = tagged.where(~F.col(flag)).select(*df.columns)
+    of_row = F.col(id_col).cast("long").eqNullSafe(F.col(found[0]))
     of_row = of_row & (F.col(host) == F.col(found[1])) & (F.col(key) == F.col(found[2]))
-    lines_go = F.col(gone).isNotNull()
-    touched = judged.where(~F.col("kept") | lines_go).select(*found)
-    whole = tagged.join(touched, of_row, "left_anti").drop(host, key)
-    cut = judged.where(F.col("kept") & lines_go).dropDuplicates(found).select(*found, gone)
-    part = tagged.join(cut, of_row, "inner")
+    judged_rows = tagged.where(F.col(flag)).join(judged, of_row, "left").where(F.coalesce(F.col(kept), F.lit(True)))
+    same = judged_rows.where(F.col(gone).isNull()).select(*df.columns)
+    part = judged_rows.where(F.col(gone).isNotNull())
     part = part.withColumn(text_col, _without_lines(F.col(text_col), F.col(gone)))
     part = part.withColumn(length_col, F.char_length(text_col).cast(df.schema[length_col].dataType))
-    return whole.unionByName(part.select(*df.columns))
+    return whole.unionByName(same).unionByName(part.select(*df.columns))

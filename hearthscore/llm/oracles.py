@@ -18,75 +18,6 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AND copy = 1 AS kept, text_
 FROM numbered
 """
 
-ORACLE["op2_line_quality"] = f"""
-WITH d AS (
-  SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text
-  FROM documents
-), w AS (
-  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i
-  FROM (SELECT r, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM d)
-), counts AS (
-  SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM w GROUP BY r
-), windows AS (
-  SELECT r, i, word, lead(word, 1) OVER p AS b, lead(word, 2) OVER p AS c
-  FROM w WINDOW p AS (PARTITION BY r ORDER BY i)
-), twice AS (
-  SELECT r, i FROM (
-    SELECT r, i, count(*) OVER (PARTITION BY r, word, b, c) AS n FROM windows WHERE c IS NOT NULL
-  ) WHERE n > 1
-), covered AS (
-  SELECT r, count(DISTINCT place) AS n_repeat_words
-  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY r
-), raw_lines AS (
-  SELECT r, unnest(string_split(text, chr(10))) AS line FROM d
-), worded AS (
-  SELECT r, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
-         trim(regexp_replace({LOWER_AZ.format("line")}, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS norm
-  FROM raw_lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
-), dups AS (
-  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY r
-), texts AS (
-  SELECT host, text, min(r) AS r FROM d GROUP BY host, text
-), signed AS (
-  SELECT DISTINCT t.host, t.r, x.norm,
-         (('0x' || substr(md5(x.norm), 1, 16))::UBIGINT)::HUGEINT AS u
-  FROM texts t JOIN worded x ON x.r = t.r
-), found AS (
-  SELECT host, r, norm, CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END AS h
-  FROM signed
-), ranked AS (
-  SELECT *, min(h) OVER (PARTITION BY r) AS low,
-         nth_value(h, 2) OVER (PARTITION BY r ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS next
-  FROM found
-), lines AS (
-  SELECT host, norm, count(*) AS docs,
-         count(DISTINCT CASE WHEN h = low THEN next ELSE low END)
-         + max(CASE WHEN h = low AND next IS NULL THEN 1 ELSE 0 END) AS unrelated
-  FROM ranked GROUP BY host, norm
-), hosts AS (
-  SELECT host, count(*) AS host_docs FROM texts GROUP BY host
-), frequent AS (
-  SELECT host, norm FROM lines JOIN hosts USING (host)
-  WHERE docs > 20 AND docs * 100 > host_docs * 2 AND unrelated * 100 >= docs * 80
-), removed AS (
-  SELECT d.r, sum(x.n) AS n_removed_words
-  FROM d JOIN worded x ON x.r = d.r JOIN frequent f ON f.host = d.host AND f.norm = x.norm
-  GROUP BY d.r
-), measured AS (
-  SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
-         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
-         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         coalesce(n_removed_words, 0)::BIGINT AS n_removed_words
-  FROM d LEFT JOIN counts USING (r) LEFT JOIN dups USING (r) LEFT JOIN covered USING (r)
-  LEFT JOIN removed USING (r)
-)
-SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-       AND (n_words - n_removed_words) * 100 >= n_words * 30 AS kept
-FROM measured
-"""
-
 # One row per part, order and step, from the masks of failed filters.
 ORACLE["op13_filter_audit"] = """
 WITH RECURSIVE d AS (

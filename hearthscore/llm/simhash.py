@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearthscore.llm import minhash
 from hearthscore.llm.common import ASCII_LOWER, fresh, hex64, lookup
 from hearthscore.llm.components import components
+from hearthscore.llm.exact_dedup import maybe_repeated, member_filter
 from hearthscore.session import stage_table
 
 SHINGLE_WORDS = 4
@@ -145,32 +145,43 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select(F.col("id").alias(id_col), hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` left when one row of each group of similar texts stays.
+def roots_of(prints: DataFrame) -> DataFrame:
+    """Staged ``fp``, ``root`` of the fingerprints (staged column ``fp``) that have a link."""
+    marks = stage_table(prints.select("fp").distinct(), "fingerprints")
+    return stage_table(components(links(marks)).withColumnRenamed("node", "fp"), "fp_roots")
+
 
-    Texts are linked from a similarity of 0.8 of their 5-word shingles on (see
-    ``minhash``), not by their fingerprints.
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` left when one row of each group of linked fingerprints stays.
 
     The row with the smallest id stays, the smallest text hash among rows of
-    one id; rows equal in id and text count as one row.  Only dropped and
-    repeated rows are looked up, so texts that stay need not shuffle.  Other
-    columns pass unchanged, whatever their names.
+    one id; rows equal in id and text count as one row.  Null and empty texts
+    share fingerprint zero; a row without an id stays only if its group has no
+    other.  Rows that a filter of the dropped and repeated ones clears pass
+    without a shuffle.  Other columns pass unchanged, whatever their names; an
+    empty table gives an empty result.
     """
     text_hash = F.xxhash64(F.col(text_col))
-    rows = df.select(F.col(id_col).alias("id"), text_col, text_hash.alias("th"))
-    found = stage_table(minhash.roots(rows, "th", text_col), "near")
-    rows = stage_table(rows.groupBy("id", "th").agg(F.count(F.lit(1)).alias("n")), "rows")
-    rows = rows.withColumn("row", F.struct(F.col("id").isNull().alias("none"), "id", "th"))
-    rows = lookup(rows, found.withColumnRenamed("node", "th"), ["th"], "left")
-    classed = stage_table(rows.withColumn("root", F.coalesce("root", "th")), "classed")
-    best = classed.groupBy("root").agg(F.min("row").alias("best"))
-    judged = lookup(classed, best, ["root"], "inner")
-    out = judged.select("id", "th", "n", F.col("row").eqNullSafe(F.col("best")).alias("stays"))
-    out = stage_table(out.where("not stays or n > 1"), "not_single")
-    gone, twice = out.where("not stays"), out.where("stays")
-    (tag,) = fresh(df, "_th")
+    rows = df.select(F.col(id_col).alias("id"), text_hash.alias("th"), text_col)
+    rows = with_fingerprint(rows, text_col, "fp").select("id", "th", "fp")
+    units = stage_table(rows.groupBy("id", "th", "fp").agg(F.count(F.lit(1)).alias("n")), "simhash")
+    rooted = lookup(units, roots_of(units), ["fp"], "left").withColumn("root", F.coalesce("root", "fp"))
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "th")
+    rooted = stage_table(rooted.select("id", "th", "n", "root", row.alias("row")), "classed")
+    best = rooted.groupBy("root").agg(F.min("row").alias("best"), F.count(F.lit(1)).alias("size"))
+    # A group of one row without repeats needs no decision.
+    judged = lookup(rooted, best.where("size > 1"), ["root"], "left")
+    stays = F.col("best").isNull() | F.col("row").eqNullSafe(F.col("best"))
+    key = F.xxhash64(F.lit(0), "id", "th").alias("key")
+    out = judged.select("id", "th", "n", stays.alias("stays"), key).where("not stays or n > 1")
+    out = stage_table(out, "not_single")
+    bitmaps, bits = member_filter(out, "key")
+    tag, probe, flag = fresh(df, "_th", "_key", "_maybe")
     tagged = df.withColumn(tag, text_hash)
-    key = lambda other: tagged[id_col].eqNullSafe(other["id"]) & (tagged[tag] == other["th"])
-    single = tagged.join(out, key(out), "left_anti")
-    again = tagged.join(twice, key(twice), "left_semi").dropDuplicates([id_col, tag])
-    return single.unionByName(again).drop(tag)
+    tagged = tagged.withColumn(probe, F.xxhash64(F.lit(0), F.col(id_col), F.col(tag)))
+    tagged = maybe_repeated(tagged, probe, bitmaps, bits, flag)
+    unsure = tagged.where(F.col(flag))
+    match = unsure[id_col].eqNullSafe(out["id"]) & (unsure[tag] == out["th"])
+    single = unsure.join(out, match, "left_anti")
+    again = unsure.join(out.where("stays"), match, "left_semi").dropDuplicates([id_col, tag])
+    return tagged.where(~F.col(flag)).unionByName(single).unionByName(again).drop(tag, probe, flag)

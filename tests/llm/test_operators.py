@@ -4,9 +4,12 @@ import collections
 import hashlib
 import itertools
 import random
+import re
+import time
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from hearthscore.llm import chat, dom, exact_dedup, html_extract, langid, licenses, line_quality
@@ -89,33 +92,58 @@ def test_near_duplicates(odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
-def test_near_duplicate_stage_against_brute_force(spark):
-    import corpus_pipeline
+def plain_fingerprint(text):
+    """The contract of the SimHash query, word by word."""
+    words = re.findall("[^\x20\x09-\x0d]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+    if not words:
+        return 0
+    hashes = [
+        xxhash.xxh64(" ".join(words[i : i + 4]).encode(), seed=42).intdigest() for i in range(max(1, len(words) - 3))
+    ]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
+
+def near_texts():
+    """Texts with copies of one to four per cent changed words, one group of them large."""
     rng = random.Random(9)
     word = lambda: f"{rng.getrandbits(32):x}"
     passage = [word() for _ in range(40)]
     texts = [[*passage, *(word() for _ in range(40))] for _ in range(80)]  # one passage in many texts
-    for n in (12, 50, 100, 300) * 15:
+    for n, copies in ((12, 3), (50, 3), (100, 3), (300, 3)) * 12 + ((400, 150),):
         first = [word() for _ in range(n)]
         texts.append(first)
-        for _ in range(3):
+        for _ in range(copies):
             copy = list(first)
             for i in rng.sample(range(n), max(1, n * rng.choice((1, 2, 4)) // 100)):
                 copy[i] = word()
             texts.append(copy)
-    sets = [{tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))} for t in texts]
-    root = list(range(len(texts)))
-    near = 0
-    for i, j in itertools.combinations(root[:], 2):
-        both = len(sets[i] & sets[j])
-        if 5 * both >= 4 * len(sets[i] | sets[j]):
-            near += 1
+    return [" ".join(t) for t in texts]
+
+
+def plain_roots(marks):
+    """Smallest reachable index over fingerprints within four bits."""
+    root = list(range(len(marks)))
+    for i, j in itertools.combinations(range(len(marks)), 2):
+        if (marks[i] ^ marks[j]).bit_count() <= 4 and root[i] != root[j]:
             a, b = sorted((root[i], root[j]))
             root = [a if r == b else r for r in root]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
-    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
-    assert near > 60 and {r.doc_id for r in out.collect()} == set(root)
+    return root
+
+
+def test_near_duplicate_stage_against_brute_force(spark):
+    import corpus_pipeline
+
+    texts = near_texts() + ["", None, "Same Text", "same text"]
+    marks = [plain_fingerprint(t) for t in texts]
+    root = plain_roots(marks)
+    assert len(set(root)) < len(texts) - 50
+    rows = [(i, t, "x") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows + rows[::7], "doc_id long, text string, fp string").repartition(6)
+    out = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()]
+    assert sorted(out) == sorted(set(root))
+    found = {r.doc_id: r for r in simhash.near_duplicates(df.drop("fp")).collect()}
+    assert [int(found[i].fingerprint, 16) for i in range(len(texts))] == marks
+    assert [found[i].component_id for i in range(len(texts))] == root
 
 
 def test_best_boundaries_against_all_choices():
@@ -153,10 +181,11 @@ def test_line_quality(spark, odd):
     assert not out[1].kept and out[1].n_words == 0 and out[6].kept and not out[5].kept
     rng = random.Random(5)
     words = lambda n: " ".join(f"{rng.getrandbits(40):x}" for _ in range(n))
-    rows = [(i, f"Menu  of the SITE {'x ' * 200}\n" + words(60), "a") for i in range(40)]
+    menu = words(200)
+    rows = [(i, f"Menu  of the SITE {menu}\n" + words(60), "a") for i in range(40)]
     body = words(80) + "\n" + words(80)
     rows += [(100 + i, body + f"\n{i}", "b") for i in range(40)]  # near copies are not boilerplate
-    rows += [(200, "menu of the site " + "x " * 200, "a")]
+    rows += [(200, "menu of the site " + menu, "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
     out = {r.id: r for r in line_quality.judge(df).collect()}
     assert all(out[i].n_removed_words == 204 and not out[i].kept for i in range(40))
@@ -180,6 +209,66 @@ def test_line_quality_of_several_shared_lines(spark):
     assert len(left) == 60 and all("\n" not in r.text for r in left)
 
 
+def plain_quality(rows, s=line_quality.LineSettings()):
+    """Kept, removed words and text left per row, by the rules in plain Python."""
+    norm = lambda line: " ".join(re.findall("[^\x20\x09-\x0d]+", line)).lower()
+    root = plain_roots([plain_fingerprint(t) for _, t, _ in rows])
+    hosts, lines = collections.defaultdict(set), collections.defaultdict(set)
+    for (_, text, host), r in zip(rows, root):
+        hosts[host].add(r)
+        for line in text.split("\n"):
+            if norm(line):
+                lines[host, norm(line)].add(r)
+    out = []
+    for _, text, host in rows:
+        def often(line):
+            n = len(lines[host, norm(line)])
+            return n > s.min_docs and n * 100 > len(hosts[host]) * s.min_doc_pct
+        gone = [x for x in text.split("\n") if norm(x) and often(x)]
+        words, removed = len(text.split()), sum(len(x.split()) for x in gone)
+        windows = collections.Counter(zip(text.split(), text.split()[1:], text.split()[2:]))
+        ids = [w for w in zip(text.split(), text.split()[1:], text.split()[2:])]
+        covered = {i + k for i, w in enumerate(ids) if windows[w] > 1 for k in range(3)}
+        base = words < 50 or 100 * len(covered) > 50 * words
+        kept = not base and (words - removed) * 100 >= words * s.min_left_pct
+        out.append((base, kept, removed, "\n".join(x for x in text.split("\n") if x not in gone)))
+    return out
+
+
+def test_line_quality_against_brute_force(spark):
+    rng = random.Random(11)
+    words = lambda n: " ".join(f"{rng.getrandbits(40):x}" for _ in range(n))
+    shared = [words(75) for _ in range(3)]
+    rows = [("\n".join([*shared, words(5)]), "a") for _ in range(40)]  # depleted, and alike
+    rows += [("\n".join([*shared, words(120)]), "a") for _ in range(20)]
+    body = [words(30) for _ in range(8)]
+    for i in range(60):  # near copies of one text, one word changed
+        lines = [x.split() for x in body]
+        lines[i % 8][i % 30] = words(1)
+        rows.append(("\n".join(map(" ".join, lines)), "b"))
+    menu = "Home  About CONTACT"
+    rows += [(menu + "\n" + words(90), "b") for _ in range(30)] + [(words(20), "c"), ("x y z " * 60, "c"), ("", "c")]
+    rows = [(i, t, h) for i, (t, h) in enumerate(rows)]
+    want = plain_quality(rows)
+    df = spark.createDataFrame([(*r, len(r[1]), "k") for r in rows], "doc_id long, text string, source string, n_chars long, kept string")
+    got = {r.id: r for r in line_quality.judge(df.repartition(5)).collect()}
+    for i, (base, kept, removed, _) in enumerate(want):
+        assert (got[i].base_failed, got[i].kept, got[i].n_removed_words) == (base, kept, removed), i
+    assert not any(got[i].kept for i in range(40)) and all(got[i].kept for i in range(40, 150))
+    assert all(got[i].n_removed_words == 0 for i in range(60, 120)) and got[130].n_removed_words == 3
+    left = {r.doc_id: r for r in line_quality.filter_documents(df).collect()}
+    assert {i: r.text for i, r in left.items()} == {i: w[3] for i, w in enumerate(want) if w[1]}
+    assert all(r.n_chars == len(r.text) and r.kept == "k" for r in left.values())
+
+
+def test_marks_are_no_letters():
+    grams = langid._word_grams
+    assert [len(x) for x in grams("\u2764\ufe0f 12")] == [0, 0, 0, 0]
+    starts, lengths, _, found = grams("\u0301abc d\u0301e \ufe0f")
+    assert starts.tolist() == [1, 5] and lengths.tolist() == [3, 3] and len(found) == 6
+    assert (grams("\ufe0fabc")[3] == grams("\x00abc")[3]).all()
+
+
 def test_language(odd, spark):
     train = spark.createDataFrame(
         [(1, "the cat and the dog went to the house", "en"), (2, "der hund und die katze gehen in das haus", "de"),
@@ -277,6 +366,13 @@ def test_html(spark):
     assert out[90] == out[91] == ""
 
 
+@pytest.mark.parametrize("tags", ["<div>", "<div><p>x", "<b>", "<ul><li>", "<svg>", "</div>", "<table><tr><td>x", "<!-->"])
+def test_html_parse_is_linear(tags):
+    start = time.process_time()
+    dom.parse(tags * 8000, marked=False)
+    assert time.process_time() - start < 2  # the square would take ten seconds and more
+
+
 def test_html_of_real_pages():
     def texts(source):
         page = dom.parse(source, marked=False)
@@ -291,10 +387,11 @@ def test_html_of_real_pages():
     for tag in "svg select object canvas math audio video".split():
         assert texts(f"<p>a</p><{tag}><p>b</p><p>c</p>") == ["a", "b", "c"], tag
     assert texts("<p>a <svg><path d=x /><text>n</text></svg>b <select><option>n</select>c") == ["a b c"]
+    assert texts("<!-->hello<p>world") == ["hello", "world"] and texts("<!--->a<!-- b --!>c") == ["ac"]
     assert texts("<p>so <math><mi>x</mi><mo>+</mo><mn>1</mn></math> it is</p>") == ["so x+1 it is"]
 
 
-@pytest.mark.parametrize("name", ["op2_line_quality", "op9_exact_dedup"])
+@pytest.mark.parametrize("name", ["op9_exact_dedup", "op13_filter_audit"])
 def test_query_matches_sql(spark, sf, name):
     from compare import compare, duck
 
