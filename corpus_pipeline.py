@@ -18,12 +18,18 @@ MIN_LANGUAGE_SHARE = 0.5  # of a text's letters, in its main language
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects short, repetitive and depleted documents; frequent lines go from the others."""
+    """Rejects short, repetitive and depleted documents; frequent lines go from the others.
+
+    Null texts are rejected as short; null sources form one host.
+    """
     return line_quality.filter_documents(docs)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language or without one that holds half of the letters."""
+    """Rejects documents without a language or without one that holds half of the letters.
+
+    Null texts and texts without a letter have none; null labels teach nothing.
+    """
     model = langid.fit(docs.where(~langid.is_held_out(F.col("doc_id"))), "text", "lang")
     (found,) = fresh(docs, "_found")
     labelled = docs.withColumn(found, langid.language_of(model, F.col("text")))
@@ -32,17 +38,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of equal texts the document with the largest id stays; a null text counts as empty."""
     return exact_dedup.drop_duplicates(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts linked by a similarity of 0.8 of 5-word shingles stays."""
+    """Of each group of texts whose SimHash fingerprints are linked, the smallest id stays.
+
+    Shingles of four words and at most four differing bits, as the operator's
+    query; null and empty texts are one group.
+    """
     return simhash.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in length buckets and token-budget batches."""
+    """Pieces of the documents in length buckets and token-budget batches; null texts are empty."""
     sized = docs.select("doc_id", packing.word_count("text").alias("n_tokens"))
     return packing.pack(sized, "doc_id", "n_tokens")
 
