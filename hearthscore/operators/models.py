@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import (
+    GBTRegressor,
+    LinearRegression,
+    LinearRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +34,7 @@ from hearthscore.operators.explore import modelable_products
 from hearthscore.operators.features import regression_target
 from hearthscore.operators.matrix import feature_names, fit_matrix
 from hearthscore.operators.metrics import classification_scorecard, regression_scorecard
+from hearthscore.operators.normal import Moments, best_penalty, moments_by_fold
 from hearthscore.operators.split import (
     class_weights,
     hash_split,
@@ -139,7 +149,8 @@ def train_product(
 ) -> tuple[list[Fitted], DataFrame | None]:
     """Fit every classifier for one product and score the held-out households.
 
-    An estimator that fails is reported and skipped.
+    A product whose training rows hold a single class is logged and gives no model;
+    any failure of an estimator is raised.
     """
     labelled = table.withColumn("label", F.coalesce(F.col(product), F.lit(0)).cast("int"))
     split = stratified_split(
@@ -147,6 +158,9 @@ def train_product(
     )
     train = split.filter("split = 'train'")
     weights = class_weights(train, "label")
+    if len(weights) < 2:
+        log.warning("%s: the training rows hold one class, no model", product)
+        return [], None
     drop = [KEY, "label", "split", *products]
     first = []
     if settings.leave_one_out:
@@ -163,11 +177,7 @@ def train_product(
         slots = feature_names(ready)
         held = ready.filter("split <> 'train'")
         for name in names or CLASSIFIERS:
-            try:
-                stages = CLASSIFIERS[name](inputs, settings, n)
-            except Exception as error:
-                log.warning("%s for %s failed: %s", name, product, error)
-                continue
+            stages = CLASSIFIERS[name](inputs, settings, n)
             model = PipelineModel(stages=[*matrix.stages, *stages])
             fitted.append(Fitted(product, name, model, slots))
             out = held
@@ -248,17 +258,44 @@ IMPORTANCE_SCHEMA = "target string, model string, place int, feature string, imp
 # --- cost regressors --------------------------------------------------------------
 
 
+WIDEST_GRAM = 1024  # columns; a task holds one square matrix of doubles per fold
+
+
 def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
     """Ridge on log(1 + cost), penalty chosen by cross-validated R2.
 
-    alpha / n * sd(y) turns the usual penalty on the sum of squares into Spark's
-    penalty on a mean over a label scaled to deviation 1.
+    The penalty is on columns of population deviation 1.  All folds and penalties
+    are solved from one pass of sufficient statistics.  Beyond ``WIDEST_GRAM``
+    columns the same problem is solved by an iterative method.
     """
     scaler = _scaler(train)
     fold = F.pmod(key_hash(KEY, s.seed + 1), F.lit(s.folds)).cast("int")
-    ready = scaler.transform(train).withColumn("fold", fold)
-    # The iterative solver takes any number of columns and scales the label by
-    # its sample deviation.
+    if scaler.mean.size > WIDEST_GRAM:
+        return [scaler, _iterative_ridge(scaler.transform(train), fold, s, n), _to_cost("expm1(prediction)")]
+    # The scaler divides by the sample deviation, the penalty is meant for the population one.
+    factor = ((n - 1) / n) ** 0.5 if n > 1 else 1.0
+    deviation = scaler.std.toArray() * factor
+    folds = moments_by_fold(train, "features", "log_target", fold, scaler.mean, deviation)
+    penalty = best_penalty(folds, s.ridge_alphas)
+    slopes, intercept = Moments(sum(m.gram for m in folds.values())).solve(penalty)
+    slopes = np.where(deviation > 0, slopes, 0.0)
+    centre = np.divide(scaler.mean.toArray(), deviation, out=np.zeros(len(slopes)), where=deviation > 0)
+    line = _line(train, slopes / factor, intercept - float(slopes @ centre))
+    return [scaler, line, _to_cost("expm1(prediction)")]
+
+
+def _line(df: DataFrame, coefficients: np.ndarray, intercept: float) -> LinearRegressionModel:
+    """A linear model with given coefficients on ``scaled``, saved and loaded like a fitted one."""
+    sc = df.sparkSession.sparkContext
+    vector = _py2java(sc, Vectors.dense(coefficients))
+    name = f"ridge_{uuid.uuid4().hex[:12]}"
+    model = sc._jvm.org.apache.spark.ml.regression.LinearRegressionModel(name, vector, float(intercept))
+    return LinearRegressionModel(model).setFeaturesCol("scaled")
+
+
+def _iterative_ridge(ready: DataFrame, fold, s: Settings, n: int) -> LinearRegressionModel:
+    """alpha / n * sd(y) turns the penalty on a sum into Spark's on a mean over a label of deviation 1."""
+    ready = ready.withColumn("fold", fold)
     unit = ready.agg(F.stddev_samp("log_target")).first()[0] or 1.0
     line = LinearRegression(
         featuresCol="scaled",
@@ -269,8 +306,6 @@ def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
         maxIter=s.logistic_iterations,
         tol=1e-8,
     )
-    # The scaler divides by the sample deviation, the penalty is meant for the
-    # population one: a factor (n - 1) / n.
     penalties = [a / n * (n - 1) / n * unit for a in s.ridge_alphas]
     grid = ParamGridBuilder().addGrid(line.regParam, penalties).build()
     cv = CrossValidator(
@@ -283,10 +318,9 @@ def ridge(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
     )
     ready = ready.persist()
     try:
-        best = cv.fit(ready).bestModel
+        return cv.fit(ready).bestModel
     finally:
         ready.unpersist()
-    return [scaler, best, _to_cost("expm1(prediction)")]
 
 
 def huber(train: DataFrame, s: Settings, n: int) -> list[Transformer]:

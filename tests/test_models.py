@@ -103,13 +103,18 @@ def test_all_estimators_learn(households):
     assert rows[0][3] == "income_mean"
 
 
-def test_failing_estimator_is_skipped(households, monkeypatch):
+def test_failing_estimator_fails_the_training(households, monkeypatch):
     def broken(*_):
         raise RuntimeError("no luck")
 
     monkeypatch.setitem(md.CLASSIFIERS, "random_forest", broken)
-    fitted, _ = md.train_product(households, "alpha", PRODUCTS, SHORT_RUN, ["random_forest", "boosted_trees"])
-    assert [f.name for f in fitted] == ["boosted_trees"]
+    with pytest.raises(RuntimeError, match="no luck"):
+        md.train_product(households, "alpha", PRODUCTS, SHORT_RUN, ["random_forest", "boosted_trees"])
+
+
+def test_one_class_gives_no_model(households):
+    same = households.withColumn("alpha", F.lit(1))
+    assert md.train_product(same, "alpha", PRODUCTS, SHORT_RUN, ["random_forest"]) == ([], None)
 
 
 def test_logistic_reaches_the_penalised_optimum(households):
@@ -161,3 +166,59 @@ def test_ridge_matches_the_closed_form(households):
     want = np.linalg.solve(x.T @ x + 50 * np.eye(2), x.T @ (y - y.mean()))
     got = model.coefficients.toArray() * np.sqrt((n - 1) / n)
     assert got == pytest.approx(want, rel=1e-6)
+
+
+def test_ridge_chooses_the_penalty_by_held_out_folds(households):
+    """Folds, penalties and predictions against numpy, with a constant and a doubled column."""
+    from dataclasses import replace
+
+    from pyspark.ml.feature import VectorAssembler
+
+    from hearthscore.operators.split import key_hash
+
+    s = replace(SHORT_RUN, ridge_alphas=(0.01, 10.0, 300.0))
+    noise = F.rand(3)
+    inputs = households.select(
+        "household_key", F.coalesce("income_mean", F.lit(0.0)).alias("a"), "total_ers_calls", noise.alias("e"),
+        (F.col("total_ers_calls") * 2).alias("twice"), F.lit(2015.0).alias("same"),
+        F.log1p("total_cost_sum").alias("log_target"),
+        F.pmod(key_hash("household_key", s.seed + 1), F.lit(s.folds)).cast("int").alias("f"),
+    )
+    names = ["a", "total_ers_calls", "e", "twice", "same"]
+    data = VectorAssembler(inputCols=names, outputCol="features").transform(inputs).persist()
+    stages = md.ridge(data, s, data.count())
+    rows = data.collect()
+    x = np.array([[r[c] for c in names] for r in rows])
+    y, f = np.array([r.log_target for r in rows]), np.array([r.f for r in rows])
+    sd = np.where(x.std(0) > 0, x.std(0), 1.0)
+    z = (x - x.mean(0)) / sd
+
+    def fit(z, y, a):
+        m = z.mean(0)
+        w = np.linalg.solve((z - m).T @ (z - m) + a * np.eye(z.shape[1]), (z - m).T @ (y - y.mean()))
+        return w, y.mean() - w @ m
+
+    def score(a):
+        out = []
+        for k in range(s.folds):
+            w, b = fit(z[f != k], y[f != k], a)
+            e = y[f == k] - z[f == k] @ w - b
+            out.append(1 - e @ e / ((y[f == k] - y[f == k].mean()) ** 2).sum())
+        return np.mean(out)
+
+    w, b = fit(z, y, max(s.ridge_alphas, key=score))
+    out = stages[1].transform(stages[0].transform(data)).select("household_key", "prediction").collect()
+    got = {r.household_key: r.prediction for r in out}
+    want = z @ w + b
+    assert all(got[r.household_key] == pytest.approx(v, abs=1e-8) for r, v in zip(rows, want))
+
+
+def test_ridge_line_is_saved_with_its_pipeline(households, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    fitted, scored = md.train_cost_models(households, PRODUCTS, SHORT_RUN, ["ridge"])
+    path = f"file://{tmp_path}/ridge"
+    fitted[0].pipeline.save(path)
+    again = PipelineModel.load(path).transform(households).select("household_key", "yhat")
+    known = {r.household_key: r.yhat for r in scored.collect()}
+    assert all(known[r.household_key] == pytest.approx(r.yhat) for r in again.collect() if r.household_key in known)
