@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -90,38 +91,145 @@ def score_vector(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.withColumn("features", array_to_vector(scaled)).drop("_raw", "_scaled")
 
 
-def fit_kmeans(df: DataFrame, k: int, seed: int, starts: int, iterations: int):
-    """Best of several seeded starts by training cost, the first of equal ones.
+@dataclass(frozen=True)
+class Segmentation:
+    """Cluster centres, their cost over the rows they were fitted on, and the passes it took."""
+
+    centres: np.ndarray
+    cost: float
+    passes: int
+
+    def transform(self, df: DataFrame, vector: str = "features", label: str = "cluster") -> DataFrame:
+        """Add ``label``: the nearest centre, the first of equally near ones."""
+        x = vector_to_array(vector)
+        distances = [
+            sum(((x[i] - F.lit(float(v))) ** 2 for i, v in enumerate(centre)), F.lit(0.0)) for centre in self.centres
+        ]
+        found = F.array(*distances)
+        return df.withColumn(label, (F.array_position(found, F.array_min(found)) - 1).cast("int"))
+
+
+QUALITY_SCHEMA = "k int, inertia double, silhouette double, calinski_harabasz double"
+START_ROWS = 4096  # rows that starting centres are drawn from; every pass reads all rows
+
+
+def _starts(df: DataFrame, key: str, vector: str, sizes: Sequence[tuple[int, int]]) -> list[np.ndarray]:
+    """Starting centres for every (clusters, seed), by distance-weighted draws.
+
+    Draws come from the ``START_ROWS`` rows of the smallest key hashes, so they
+    depend neither on partitions nor on the order of rows.
+    """
+    rows = df.orderBy(F.xxhash64(key), key).limit(START_ROWS).select(vector_to_array(vector).alias("x")).collect()
+    points = np.array([r.x for r in rows])
+    out = []
+    for k, seed in sizes:
+        rng = np.random.default_rng(seed)
+        chosen = [points[rng.integers(len(points))]]
+        nearest = ((points - chosen[0]) ** 2).sum(axis=1)
+        while len(chosen) < k:
+            total = nearest.sum()
+            share = nearest / total if total > 0 else None
+            chosen.append(points[rng.choice(len(points), p=share)])
+            nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
+        out.append(np.array(chosen))
+    return out
+
+
+def _pass(points: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, tuple]:
+    """One pass for all fits: per fit the counts, sums and cost of its clusters.
+
+    A task emits one row per fit and cluster, whatever the number of its points.
+    """
+    names = list(centres)
+    together = np.vstack([centres[i] for i in names])
+    cuts = np.cumsum([0, *(len(centres[i]) for i in names)])
+    d = together.shape[1]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((len(together), d + 2))
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            for at in range(0, len(x), 2048):
+                rows = x[at : at + 2048]
+                distance = ((rows[:, None, :] - together[None, :, :]) ** 2).sum(axis=2)
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    near = distance[:, a:b].argmin(axis=1)
+                    own = np.zeros((len(rows), b - a))
+                    own[np.arange(len(rows)), near] = 1.0
+                    cost = distance[np.arange(len(rows)), a + near]
+                    sums[a:b] += own.T @ np.column_stack([np.ones(len(rows)), cost, rows])
+        lines = pa.array(list(sums), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(sums)), pa.int32()), lines], ["i", "line"])
+
+    lines = points.mapInArrow(partial, "i int, line array<double>")
+    total = lines.groupBy("i").agg(Summarizer.metrics("sum").summary(array_to_vector("line")).alias("s"))
+    found = np.zeros((len(together), d + 2))
+    for r in total.select("i", vector_to_array("s.sum").alias("line")).collect():
+        found[r.i] = r.line
+    return {i: (f[:, 0], f[:, 2:], f[:, 1].sum()) for i, f in zip(names, np.split(found, cuts[1:-1]))}
+
+
+def fit_many(
+    df: DataFrame, key: str, fits: Sequence[tuple[int, int]], iterations: int, vector: str = "features", tolerance: float = 1e-4
+) -> list[Segmentation]:
+    """K-Means for every (clusters, seed) of ``fits`` at once.
+
+    The centres of all fits go to every task together, so a pass over the rows
+    moves all of them; a fit whose centres move less than ``tolerance`` leaves
+    the later passes.  An empty cluster keeps its centre.  ``df`` is read once
+    per pass: persist or stage it first.
+    """
+    points = df.select(vector_to_array(vector).alias("x"))
+    open_fits = dict(enumerate(_starts(df, key, vector, fits)))
+    done: dict[int, Segmentation] = {}
+    final: dict[int, np.ndarray] = {}
+    for turn in range(1, iterations + 2):
+        for i, (n, sums, cost) in _pass(points, {**open_fits, **final}).items():
+            if i in final:  # the cost of centres that no longer move
+                done[i] = Segmentation(final.pop(i), float(cost), turn)
+                continue
+            moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], open_fits[i])
+            shift = np.sqrt(((moved - open_fits[i]) ** 2).sum(axis=1)).max()
+            open_fits[i] = moved
+            if shift <= tolerance or turn >= iterations:
+                final[i] = open_fits.pop(i)
+        if not open_fits and not final:
+            break
+    return [done[i] for i in range(len(fits))]
+
+
+def fit_kmeans(df: DataFrame, key: str, k: int, seed: int, starts: int, iterations: int) -> Segmentation:
+    """Best of several seeded starts by cost over all rows, the first of equal ones.
 
     Costs are compared in nine digits: sums differ in the last ones from run to
     run, which must not decide between starts that reach the same optimum.
     """
-    models = [
-        KMeans(k=k, seed=seed + i, maxIter=iterations, featuresCol="features", predictionCol="cluster").fit(df)
-        for i in range(starts)
-    ]
-    return min(models, key=lambda m: float(f"{m.summary.trainingCost:.9g}"))
+    fits = fit_many(df, key, [(k, seed + i) for i in range(starts)], iterations)
+    return min(fits, key=lambda f: float(f"{f.cost:.9g}"))
 
 
 def kmeans_sweep(df: DataFrame, key: str, settings: Settings) -> DataFrame:
     """Inertia, silhouette and Calinski-Harabasz for each number of clusters.
 
-    ``df`` is read many times: persist it first.
+    All starts of all numbers of clusters share their passes over ``df``; persist
+    it first.
     """
+    sizes = [(k, settings.seed + i) for k in settings.segment_range for i in range(settings.sweep_starts)]
+    fits = fit_many(df, key, sizes, 300)
     rows = []
     for k in settings.segment_range:
-        model = fit_kmeans(df, k, settings.seed, settings.sweep_starts, 300)
-        labelled = model.transform(df)
+        own = [f for f, (size, _) in zip(fits, sizes) if size == k]
+        best = min(own, key=lambda f: float(f"{f.cost:.9g}"))
+        labelled = best.transform(df)
         rows.append(
             (
                 k,
-                float(model.summary.trainingCost),
+                best.cost,
                 silhouette(labelled, "features", "cluster"),
                 calinski_harabasz(labelled, "features", "cluster"),
             )
         )
-    schema = "k int, inertia double, silhouette double, calinski_harabasz double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(rows, QUALITY_SCHEMA)
 
 
 def best_k(sweep: DataFrame) -> DataFrame:

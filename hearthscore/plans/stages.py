@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthscore.config import Settings
+from hearthscore.functions.tiers import r2_verdict
 from hearthscore.operators import models as md
 from hearthscore.operators import segments as sg
+from hearthscore.operators.metrics import lift_curve, residuals, roc_points
 from hearthscore.operators.propensity import propensity_columns, score_products
 from hearthscore.operators.recommend import attach_recommendation
 from hearthscore.operators.selection import best_model
@@ -34,12 +36,21 @@ def stage_preprocess(raw: DataFrame, base: str, years: Sequence[int] | None = No
 def stage_classify(
     spark: SparkSession, base: str, products: Sequence[str], settings: Settings
 ) -> DataFrame:
-    """Train, evaluate and register the best classifier of every modelable product."""
+    """Train, evaluate and register the best classifier of every modelable product.
+
+    Besides the summary it writes ROC points and lift curves of the test rows
+    (``roc``, ``lift``) and the leading features of every model (``importances``).
+    """
     table = io.scan_parquet(spark, f"{base}/households")
     fitted, scored = md.train_all_products(table, products, settings)
     path = f"{base}/classification"
     io.write_parquet(md.classification_summary(scored), path)
     summary = io.scan_parquet(spark, path)
+    test, by = scored.filter("split = 'test'"), ["product", "model"]
+    io.write_parquet(roc_points(test, by), f"{base}/roc")
+    io.write_parquet(lift_curve(test, by, KEY), f"{base}/lift")
+    leading = [row for f in fitted for row in md.feature_importance(f)]
+    io.write_parquet(spark.createDataFrame(leading, md.IMPORTANCE_SCHEMA), f"{base}/importances")
     best = {
         (r["product"], r["model"]): r.asDict()
         for r in best_model(summary, "product", "validation").collect()
@@ -66,14 +77,20 @@ def stage_classify(
 def stage_regress(
     spark: SparkSession, base: str, products: Sequence[str], settings: Settings
 ) -> DataFrame:
-    """Train the cost models, register the best on validation rows, report test rows."""
+    """Train the cost models, register the best on validation rows, report test rows.
+
+    The summary carries the R2 verdict of every model; ``residuals`` holds the
+    residual of every test row.
+    """
     table = io.scan_parquet(spark, f"{base}/households")
     fitted, scored = md.train_cost_models(table, products, settings)
     path = f"{base}/regression"
-    io.write_parquet(md.regression_summary(scored), path)
+    verdict = r2_verdict(F.col("r2")).alias("verdict")
+    io.write_parquet(md.regression_summary(scored).select("*", verdict), path)
+    io.write_parquet(residuals(scored.filter("split = 'test'")), f"{base}/residuals")
     summary = io.scan_parquet(spark, path)
     held = md.regression_summary(scored, "validation").first()
-    best = summary.filter(F.col("model") == held["model"]).first().asDict()
+    best = summary.filter(F.col("model") == held["model"]).drop("verdict").first().asDict()
     chosen = next(f for f in fitted if f.name == best["model"])
     registry.register(
         spark,
@@ -94,7 +111,7 @@ def stage_regress(
 
 
 def stage_cluster(spark: SparkSession, base: str, settings: Settings) -> DataFrame:
-    """Segment households by their propensity scores; writes segments and actions."""
+    """Segment households by their propensity scores; writes segments, their quality and actions."""
     scored_path = f"{base}/propensity"
     io.write_parquet(score_products(io.scan_parquet(spark, f"{base}/households"), base), scored_path)
     table = io.scan_parquet(spark, scored_path)
@@ -107,11 +124,22 @@ def stage_cluster(spark: SparkSession, base: str, settings: Settings) -> DataFra
         io.write_parquet(sg.kmeans_sweep(points, KEY, settings), f"{base}/sweep")
         model = sg.fit_kmeans(
             points,
+            KEY,
             settings.segments,
             settings.seed,
             settings.segment_starts,
             settings.segment_iterations,
         )
+        labelled = model.transform(points)
+        quality = [
+            (
+                settings.segments,
+                model.cost,
+                sg.silhouette(labelled, "features", "cluster"),
+                sg.calinski_harabasz(labelled, "features", "cluster"),
+            )
+        ]
+        io.write_parquet(spark.createDataFrame(quality, sg.QUALITY_SCHEMA), f"{base}/segment_quality")
     finally:
         points.unpersist()
     io.write_parquet(model.transform(vectors).drop("features"), f"{base}/segments")

@@ -127,7 +127,7 @@ def _vectors(spark, sf_dir):
 def kmeans_sweep(spark, sf_dir):
     vectors = _vectors(spark, sf_dir).persist()
     try:
-        return sg.kmeans_sweep(vectors, K, SHORT_RUN)
+        return sg.kmeans_sweep(vectors, K, Settings())
     finally:
         vectors.unpersist()
 
@@ -135,8 +135,8 @@ def kmeans_sweep(spark, sf_dir):
 @query("segment_households")
 def segment_households(spark, sf_dir):
     vectors = stage_table(_vectors(spark, sf_dir), "vectors")
-    s = SHORT_RUN
-    model = sg.fit_kmeans(vectors, s.segments, s.seed, s.segment_starts, s.segment_iterations)
+    s = Settings()
+    model = sg.fit_kmeans(vectors, K, s.segments, s.seed, s.segment_starts, s.segment_iterations)
     return model.transform(vectors).select(K, "cluster")
 
 

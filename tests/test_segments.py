@@ -59,8 +59,8 @@ def test_sweep(blobs):
 
 
 def test_fit_is_repeatable(blobs):
-    a, b = (sg.fit_kmeans(blobs, 3, 42, 2, 100) for _ in range(2))
-    assert a.summary.trainingCost == pytest.approx(b.summary.trainingCost, rel=1e-9)
+    a, b = (sg.fit_kmeans(blobs, "id", 3, 42, 2, 100) for _ in range(2))
+    assert a.cost == pytest.approx(b.cost, rel=1e-9)
     labels = [
         {r.id: r.cluster for r in m.transform(blobs).select("id", "cluster").collect()} for m in (a, b)
     ]
@@ -134,3 +134,30 @@ def test_recommendation_shares(spark):
     assert out == {"a": 66.7, NURTURE_LABEL: 33.3}
     assert {r.is_nurture: r.n for r in rc.nurture_split(rec).collect()} == {True: 1, False: 2}
     assert rec.filter(F.col("cluster_name").isNull()).count() == 0
+
+
+def test_fits_together_equal_fits_alone(blobs):
+    fits = [(2, 1), (3, 2), (5, 3), (5, 4)]
+    together = sg.fit_many(blobs.repartition(7), "id", fits, 100)
+    for fit, got in zip(fits, together):
+        (alone,) = sg.fit_many(blobs.repartition(2), "id", [fit], 100)
+        assert got.centres == pytest.approx(alone.centres) and got.cost == pytest.approx(alone.cost)
+
+
+def test_fit_is_a_fixed_point_of_all_rows(blobs):
+    """Every centre is the mean of the rows nearest to it, and the cost is their distance."""
+    fit = sg.fit_kmeans(blobs, "id", 4, 7, 3, 300)
+    rows = fit.transform(blobs).collect()
+    x, label = np.array([r.v for r in rows]), np.array([r.cluster for r in rows])
+    distance = ((x[:, None] - fit.centres[None]) ** 2).sum(-1)
+    assert (distance.argmin(1) == label).all()
+    assert fit.cost == pytest.approx(distance.min(1).sum())
+    assert fit.centres == pytest.approx(np.array([x[label == k].mean(0) for k in range(4)]), abs=1e-3)
+
+
+def test_more_clusters_than_distinct_points(spark):
+    df = spark.createDataFrame([(i, [float(i % 2)]) for i in range(50)], "id long, v array<double>")
+    df = df.withColumn("features", array_to_vector("v"))
+    fit = sg.fit_kmeans(df, "id", 4, 1, 2, 50)
+    assert fit.cost == 0 and fit.passes <= 3
+    assert fit.transform(df).select("cluster").distinct().count() == 2

@@ -1,5 +1,7 @@
 import os
 
+from pyspark.sql import functions as F
+
 from hearthscore.config import Settings, BoostSettings, ForestSettings
 from hearthscore.operators.propensity import propensity_columns, score_cost, score_products
 from hearthscore.plans import stages as st
@@ -43,6 +45,20 @@ def test_all_stages_and_restart(spark, sf):
     names = registry.inventory(spark, f"{base}/registry").collect()
     assert {r.task for r in names} == {"classify", "regress"}
     assert all(r.feature_count == len(r.feature_names) for r in names)
+    # evaluation tables agree with the summaries
+    kinds = ["product", "model"]
+    cards = spark.read.parquet(f"{base}/classification")
+    lifts = spark.read.parquet(f"{base}/lift").groupBy(*kinds).agg(F.max("pct_captured").alias("all"))
+    assert lifts.count() == cards.count() and lifts.filter("all <> 1").count() == 0
+    ends = spark.read.parquet(f"{base}/roc").groupBy(*kinds).agg(F.max("tpr").alias("t"), F.max("fpr").alias("f"))
+    assert ends.count() == cards.count() and ends.filter("t <> 1 or f <> 1").count() == 0
+    assert spark.read.parquet(f"{base}/importances").select("target", "model").distinct().count() == cards.count()
+    errors = spark.read.parquet(f"{base}/residuals").groupBy("model").agg(
+        F.round(F.sqrt(F.avg(F.col("residual") ** 2)), 4).alias("rmse2"))
+    costs = spark.read.parquet(f"{base}/regression").join(errors, "model")
+    assert costs.count() == 4 and costs.filter("abs(rmse - rmse2) > 0.001 or verdict is null").count() == 0
+    quality = spark.read.parquet(f"{base}/segment_quality").first()
+    assert quality.k == 3 and quality.inertia >= 0 and -1 <= quality.silhouette <= 1
     # any stage can run again from what the ones before have stored
     assert st.stage_recommend(spark, base).count() == households.count()
     wide = score_products(households, base)
