@@ -97,7 +97,7 @@ def lift_at_k(
 
 
 def _running_in_group(
-    df: DataFrame, order: Sequence[Column], sums: dict[str, str], position: str
+    df: DataFrame, order: Sequence[str], sums: dict[str, str], position: str
 ) -> DataFrame:
     """Positions and running sums that restart in each group.
 
@@ -118,7 +118,7 @@ def _running_in_group(
             for n in names
         ],
     )
-    run = with_running(df, [F.col(_G), *order], sums, position)
+    run = with_running(df, [_G, *order], sums, position)
     out = run.join(F.broadcast(starts), _G)
     return out.withColumns({n: F.col(n) - F.col(f"_start_{n}") for n in names}).drop(
         *[f"_start_{n}" for n in names]
@@ -128,7 +128,7 @@ def _running_in_group(
 def lift_curve(df: DataFrame, by: Sequence[str] = (), key: str = "key") -> DataFrame:
     """Share of population, share of positives captured and lift for every prefix."""
     g = _grouped(df, by).select(_G, *by, key, "p", F.col("y").cast("bigint").alias("y"))
-    run = _running_in_group(g, [F.desc("p"), F.col(key)], {"caught": "y"}, "position")
+    run = _running_in_group(g, ["-p", key], {"caught": "y"}, "position")
     pop = F.col("position") / F.col("_all_position")
     captured = F.col("caught") / F.greatest(F.col("_all_caught"), F.lit(1))
     return run.select(*by, key, "position", pop.alias("pct_pop"), captured.alias("pct_captured")).withColumn(
@@ -156,7 +156,7 @@ def _by_score(df: DataFrame, by: Sequence[str]) -> DataFrame:
 def roc_points(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate at every distinct score, best score first."""
     run = _running_in_group(
-        _by_score(df, by), [F.desc("p")], {"tp": "pos", "fp": "neg"}, "position"
+        _by_score(df, by), ["-p"], {"tp": "pos", "fp": "neg"}, "position"
     )
     return run.select(
         *by,
@@ -173,7 +173,7 @@ def roc_auc(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     Summed over distinct scores, from the running count of lower negatives.
     """
-    run = _running_in_group(_by_score(df, by), [F.col("p")], {"below": "neg"}, "position")
+    run = _running_in_group(_by_score(df, by), ["p"], {"below": "neg"}, "position")
     below = F.col("below") - F.col("neg")
     wins = F.col("pos") * (2 * below + F.col("neg"))
     sums = run.groupBy(*by).agg(
@@ -316,7 +316,7 @@ def residual_qq(df: DataFrame, key: Sequence[str], points: int = 101) -> DataFra
     probs = [(i + 0.5) / points for i in range(points)]
     places = [(n - 1) * p for p in probs]
     wanted = sorted({int(x) + d for x in places for d in (0, 1) if int(x) + d < n})
-    at = with_running(values, [F.col("residual"), *[F.col(k) for k in key]], {})
+    at = with_running(values, ["residual", *key], {})
     at = at.filter((F.col("position") - 1).isin(wanted)).select(
         (F.col("position") - 1).alias("place"), "residual"
     )

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hearthscore.operators import quantiles as q
@@ -49,7 +50,7 @@ def test_running_sums_over_slices_with_a_heavy_value(spark):
     n = 5000
     p = F.when(F.col("id") % 3 == 0, 0.5).otherwise((F.col("id") * 31 % 997) / 997)
     df = spark.range(n).select("id", p.alias("p"), (F.col("id") % 5).alias("v"))
-    out = with_running(df, [F.desc("p"), F.col("id")], {"total": "v"}, slices=16)
+    out = with_running(df, ["-p", "id"], {"total": "v"}, slices=16)
     rows = sorted(out.collect(), key=lambda r: (-r.p, r.id))
     assert [r.position for r in rows] == list(range(1, n + 1))
     assert [r.total for r in rows] == list(np.cumsum([r.v for r in rows]))
@@ -76,3 +77,28 @@ def test_longs_beyond_the_precision_of_doubles(spark, monkeypatch):
         got = q.order_statistics(df, "g", "v", lambda g, n: wanted[g])
         assert got == {(g, r): sorted(groups[g])[r] for g, rs in wanted.items() for r in rs}
     df.unpersist()
+
+
+@pytest.mark.parametrize("slices", [1, 2, 7, 40])
+def test_running_sums_with_nulls_nans_and_one_hot_value(spark, slices):
+    rng = np.random.default_rng(3)
+    values = [None, float("nan"), 1.0, 1.0, 1.0, -2.5, float("inf")]
+    rows = [(i, values[rng.integers(len(values))], "ab"[i % 2], int(rng.integers(9))) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, p double, g string, v long").repartition(5)
+    for order, plain in ((["g", "-p", "id"], [F.col("g"), F.desc("p"), F.col("id")]),
+                         (["p", "-id"], [F.col("p"), F.desc("id")])):
+        whole = Window.orderBy(*plain)
+        want = df.select("id", F.row_number().over(whole).alias("n"),
+                         F.sum("v").over(whole.rowsBetween(Window.unboundedPreceding, 0)).alias("t"))
+        got = with_running(df, order, {"t": "v"}, "n", slices).select("id", "n", "t")
+        assert sorted(got.collect()) == sorted(want.collect())
+    assert with_running(df.limit(0), ["p", "id"], {"t": "v"}, "n", slices).count() == 0
+
+
+def test_running_sums_exchange_the_rows_once(spark):
+    df = spark.range(5000).selectExpr("id", "cast(id % 11 as double) as p", "id % 3 as v").repartition(3)
+    out = with_running(df, ["-p", "id"], {"t": "v"}, slices=8)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "WriteFiles" not in plan and plan.count("Window") == 2  # rows, and one row per slice
+    physical = out._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in physical
