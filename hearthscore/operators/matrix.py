@@ -7,12 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthscore.config import MISSING_LABEL
 from hearthscore.operators.clean import assert_no_excluded, numeric_columns, text_columns
+from hearthscore.operators.ordered import with_running
 from hearthscore.operators.quantiles import exact_medians
+from hearthscore.session import stage_table
 
 log = logging.getLogger(__name__)
 
@@ -66,6 +68,68 @@ def build_matrix(
     return one_hot(fill_numbers(df.select(key, *medians, *text), medians), text, labels)
 
 
+def label_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct labels as rows ``column``, ``label``, ``slot``: slots 0, 1, ... by column and label.
+
+    Labels combine in the map tasks and are numbered by range, so their number is
+    not bound by the driver; nulls count as the missing label.  Staged.
+    """
+    cells = F.array(*[_cell(c) for c in columns]) if columns else F.array().cast("array<struct<column:string,label:string>>")
+    labels = df.select(F.explode(cells).alias("c")).select("c.column", "c.label").distinct()
+    labels = stage_table(labels, "labels")
+    numbered = with_running(labels, ["column", "label"], {}, "slot")
+    return stage_table(numbered.select("column", "label", (F.col("slot") - 1).alias("slot")), "dictionary")
+
+
+def _cell(column: str) -> Column:
+    label = F.coalesce(F.col(_quoted(column)).cast("string"), F.lit(MISSING_LABEL))
+    return F.struct(F.lit(column).alias("column"), label.alias("label"))
+
+
+def sparse_matrix(
+    df: DataFrame,
+    drop: Sequence[str] = (),
+    key: str = "household_key",
+    dictionary: DataFrame | None = None,
+    medians: dict[str, float] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Matrix rows (key, slots, values) and the names of the slots (slot, name).
+
+    Numbers come first, with nulls replaced by the column's exact median, then one
+    slot per label with value 1.  Labels and medians are learned on ``df`` unless
+    given; a label outside the dictionary gives zeros.  Keys must be distinct;
+    a column without any value is left out; ``df`` is read several times.
+    """
+    learned, text = split_columns(df, [*drop, key])
+    medians = learned if medians is None else medians
+    numbers = list(medians)
+    dictionary = label_dictionary(df, text) if dictionary is None else dictionary
+    first = len(numbers)
+    filled = [F.coalesce(F.col(_quoted(c)).cast("double"), F.lit(float(m))) for c, m in medians.items()]
+    rows = df.select(key, F.array(*filled).cast("array<double>").alias("numbers"))
+    if text:
+        cells = df.select(key, F.explode(F.array(*[_cell(c) for c in text])).alias("c"))
+        cells = cells.select(key, F.col("c.column").alias("column"), F.col("c.label").alias("label"))
+        found = cells.join(dictionary, ["column", "label"]).groupBy(key).agg(
+            F.sort_array(F.collect_list(F.col("slot") + first)).alias("labels")
+        )
+        rows = rows.join(found, key, "left")
+    else:
+        rows = rows.withColumn("labels", F.lit(None).cast("array<bigint>"))
+    labels = F.coalesce("labels", F.array().cast("array<bigint>"))
+    matrix = rows.select(
+        key,
+        F.concat(F.array(*[F.lit(i) for i in range(first)]).cast("array<bigint>"), labels).alias("slots"),
+        F.concat("numbers", F.transform(labels, lambda _: F.lit(1.0))).alias("values"),
+    )
+    spark = df.sparkSession
+    names = spark.createDataFrame(list(enumerate(numbers)), "slot bigint, name string")
+    dummies = dictionary.select(
+        (F.col("slot") + first).alias("slot"), F.concat_ws("=", "column", "label").alias("name")
+    )
+    return matrix, names.unionByName(dummies)
+
+
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean 0 and population deviation 1; a constant column becomes 0."""
     stats = df.agg(

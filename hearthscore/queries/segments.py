@@ -9,7 +9,8 @@ from hearthscore.config import MODE_COLUMNS, NURTURE_LABEL, SEGMENT_LABELS
 from hearthscore.operators import matrix as mx
 from hearthscore.operators import recommend as rc
 from hearthscore.operators import segments as sg
-from hearthscore.queries.catalog import features, households, plain, query
+from hearthscore.plans.preprocess import preprocess_pipeline
+from hearthscore.queries.catalog import calls, features, households, plain, query
 from hearthscore.queries.evaluate import DENSE, shares
 from hearthscore.queries.households import _MEANS, _MONEY, FEATURES, K
 from hearthscore.queries.oracle_base import _define, sql
@@ -33,7 +34,8 @@ def impute_median(spark, sf_dir):
     return mx.impute_median(features(spark, sf_dir).select(K, *_INPUTS), _INPUTS)
 
 
-# Label sets of the test tables, at every size.
+# Label sets of the test tables, at every size: these two queries have one column
+# per listed label.  ``preprocess_matrix`` learns its labels.
 _LABELS = {
     "zip": sorted(f"Brand#{i}" for i in range(1, 26)),
     "home_owner": sorted(["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "Not Set"]),
@@ -61,6 +63,31 @@ def build_matrix(spark, sf_dir):
     return mx.build_matrix(table.select(*FEATURES), src.PRODUCTS, labels=_LABELS)
 
 
+# The engine's slots: numbers in the order of the features, then labels by column and label.
+_CELLS = " union all ".join(f"select household_key, '{c}' as col, coalesce({c}, 'Not Set') as label from feat" for c in MODE_COLUMNS)
+_NUMBERS = " union all ".join(
+    f"select household_key, {i} as slot, '{c}' as name, coalesce({c}::double, median({c}::double) over ()) as value from feat"
+    for i, c in enumerate(_INPUTS)
+)
+
+
+@query(
+    "preprocess_matrix",
+    sql(
+        f"""select household_key, slot::bigint as slot, name, value from ({_NUMBERS})
+union all
+select household_key, ({len(_INPUTS)} + dense_rank() over (order by col, label) - 1)::bigint, col || '=' || label, 1.0::double
+from ({_CELLS})""",
+        "feat",
+    ),
+)
+def preprocess_matrix(spark, sf_dir):
+    matrix, names, _ = preprocess_pipeline(calls(spark, sf_dir), src.COST_YEARS)
+    cells = matrix.select(K, F.explode(F.arrays_zip("slots", "values")).alias("c"))
+    cells = cells.select(K, F.col("c.slots").alias("slot"), F.col("c.values").alias("value"))
+    return cells.join(names, "slot").select(K, "slot", "name", "value")
+
+
 _SCALED = ", ".join(
     f"round(({c} - avg({c}) over ()) / coalesce(nullif(stddev_pop({c}) over (), 0), 1), 6) as {c}"
     for c in _INPUTS

@@ -48,6 +48,39 @@ def test_matrix_has_no_nulls_and_keeps_the_key(households):
     assert {"zip=a", "zip=b", "zip=c", "zip=Not Set"} <= set(out.columns)
 
 
+def test_sparse_matrix_against_plain_python(spark, households):
+    """Slots, medians, missing labels and labels outside a given dictionary."""
+    df = households.withColumns({
+        "mark": F.when(F.col("household_key") % 3 == 0, "ä b").when(F.col("household_key") % 3 == 1, "a`="),
+        "never": F.lit(None).cast("double"),
+    }).repartition(4)
+    matrix, names = mx.sparse_matrix(df, PRODUCTS)
+    name = {r.slot: r.name for r in names.collect()}
+    assert sorted(name) == list(range(len(name))) and "never" not in name.values()
+    rows = {r.household_key: r for r in df.collect()}
+    median = float(np.median([r.income_mean for r in rows.values() if r.income_mean is not None]))
+    got = matrix.collect()
+    assert len(got) == 600
+    for r in got:
+        cells, row = dict(zip((name[i] for i in r.slots), r["values"])), rows[r.household_key]
+        want = {f"zip={row.zip or 'Not Set'}": 1.0, f"mark={row.mark or 'Not Set'}": 1.0}
+        numbers = {c: row[c] for c in ("income_mean", "total_ers_calls", "product_count", "is_multi_product", "total_cost_sum")}
+        numbers["income_mean"] = median if numbers["income_mean"] is None else numbers["income_mean"]
+        assert cells == {**numbers, **want} and list(r.slots) == sorted(r.slots)
+    few = mx.label_dictionary(df.where("zip = 'a'"), ["mark", "zip"])
+    part, _ = mx.sparse_matrix(df, PRODUCTS, dictionary=few, medians={"total_ers_calls": 0.0})
+    known = {r.household_key: r for r in part.where("household_key in (1, 3)").collect()}
+    assert known[1]["values"] == [rows[1].total_ers_calls]  # neither label is in the dictionary
+    assert known[3]["values"] == [rows[3].total_ers_calls, 1.0, 1.0]
+
+
+def test_sparse_matrix_without_text_or_rows(spark, households):
+    matrix, names = mx.sparse_matrix(households.select("household_key", "income_mean"))
+    assert names.count() == 1 and all(list(r.slots) == [0] for r in matrix.collect())
+    matrix, names = mx.sparse_matrix(households.limit(0))
+    assert matrix.count() == 0 and names.count() == 0
+
+
 def test_empty_column_is_left_out(households):
     df = households.withColumn("never", F.lit(None).cast("double"))
     assert "never" not in mx.build_matrix(df, PRODUCTS, labels_in(df)).columns
