@@ -12,14 +12,13 @@ from functools import reduce
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (
-    GBTRegressor,
     LinearRegression,
     LinearRegressionModel,
     RandomForestRegressor,
@@ -29,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthscore.config import Settings
+from hearthscore.operators.boosting import fit_boosted, to_spark
 from hearthscore.operators.clean import leakage_columns
 from hearthscore.operators.explore import modelable_products
 from hearthscore.operators.features import regression_target
@@ -69,19 +69,13 @@ class Fitted:
 
 
 def boosted_trees(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
-    return [
-        GBTClassifier(
-            labelCol="label",
-            weightCol="weight",
-            maxIter=s.boost.rounds,
-            maxDepth=s.boost.depth,
-            stepSize=s.boost.step,
-            subsamplingRate=s.boost.row_share,
-            featureSubsetStrategy=s.boost.column_share,
-            minInstancesPerNode=s.boost.min_rows,
-            seed=s.seed,
-        ).fit(train)
-    ]
+    return _boosted([train], s)[0]
+
+
+def _boosted(tables: Sequence[DataFrame], s: Settings) -> list[list[Transformer]]:
+    """Boosted classifiers of several products, grown in the same passes."""
+    fits = fit_boosted(tables, KEY, s.boost, s.seed, logistic=True)
+    return [[to_spark(table.sparkSession, f, logistic=True)] for table, f in zip(tables, fits)]
 
 
 def random_forest(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
@@ -140,18 +134,23 @@ def _other_products(product: str) -> SQLTransformer:
     )
 
 
-def train_product(
-    table: DataFrame,
-    product: str,
-    products: Sequence[str],
-    settings: Settings,
-    names: Sequence[str] | None = None,
-) -> tuple[list[Fitted], DataFrame | None]:
-    """Fit every classifier for one product and score the held-out households.
+@dataclass
+class Prepared:
+    """One product's matrix over all its households, persisted, and the steps that made it."""
 
-    A product whose training rows hold a single class is logged and gives no model;
-    any failure of an estimator is raised.
-    """
+    product: str
+    matrix: PipelineModel
+    ready: DataFrame
+    slots: list[str]
+
+    @property
+    def train(self) -> DataFrame:
+        return self.ready.filter("split = 'train'")
+
+
+def _prepare(
+    table: DataFrame, product: str, products: Sequence[str], settings: Settings
+) -> Prepared | None:
     labelled = table.withColumn("label", F.coalesce(F.col(product), F.lit(0)).cast("int"))
     split = stratified_split(
         labelled, KEY, "label", settings.test_share, settings.validation_share, settings.seed
@@ -160,7 +159,7 @@ def train_product(
     weights = class_weights(train, "label")
     if len(weights) < 2:
         log.warning("%s: the training rows hold one class, no model", product)
-        return [], None
+        return None
     drop = [KEY, "label", "split", *products]
     first = []
     if settings.leave_one_out:
@@ -169,56 +168,97 @@ def train_product(
     matrix = fit_matrix(train, drop, first)
     ready = matrix.transform(split).select(KEY, "label", "split", "features")
     use = weights if settings.balanced else {}
-    ready = with_class_weight(ready, "label", use).persist()
+    slots = feature_names(ready)
+    return Prepared(product, matrix, with_class_weight(ready, "label", use).persist(), slots)
+
+
+def _fit(
+    p: Prepared, settings: Settings, names: Sequence[str], known: dict[str, list[Transformer]]
+) -> tuple[list[Fitted], DataFrame | None]:
+    """Fit what is not ``known`` yet; score the held-out households with every model."""
     fitted, scored = [], []
-    try:
-        inputs = ready.filter("split = 'train'")
-        n = inputs.count()
-        slots = feature_names(ready)
-        held = ready.filter("split <> 'train'")
-        for name in names or CLASSIFIERS:
-            stages = CLASSIFIERS[name](inputs, settings, n)
-            model = PipelineModel(stages=[*matrix.stages, *stages])
-            fitted.append(Fitted(product, name, model, slots))
-            out = held
-            for stage in stages:
-                out = stage.transform(out)
-            scored.append(
-                out.select(
-                    F.col(KEY),
-                    F.lit(product).alias("product"),
-                    F.lit(name).alias("model"),
-                    "split",
-                    F.col("label").alias("y"),
-                    vector_to_array("probability")[1].alias("p"),
-                    F.col("prediction").cast("int").alias("pred"),
-                )
+    n = p.train.count()
+    held = p.ready.filter("split <> 'train'")
+    for name in names:
+        stages = known.get(name) or CLASSIFIERS[name](p.train, settings, n)
+        model = PipelineModel(stages=[*p.matrix.stages, *stages])
+        fitted.append(Fitted(p.product, name, model, p.slots))
+        out = held
+        for stage in stages:
+            out = stage.transform(out)
+        scored.append(
+            out.select(
+                F.col(KEY),
+                F.lit(p.product).alias("product"),
+                F.lit(name).alias("model"),
+                "split",
+                F.col("label").alias("y"),
+                vector_to_array("probability")[1].alias("p"),
+                F.col("prediction").cast("int").alias("pred"),
             )
-        if not scored:
-            return [], None
-        return fitted, stage_table(reduce(DataFrame.unionByName, scored), f"scored-{product}")
+        )
+    if not scored:
+        return [], None
+    return fitted, stage_table(reduce(DataFrame.unionByName, scored), f"scored-{p.product}")
+
+
+def train_product(
+    table: DataFrame,
+    product: str,
+    products: Sequence[str],
+    settings: Settings,
+    names: Sequence[str] | None = None,
+) -> tuple[list[Fitted], DataFrame | None]:
+    """Fit every classifier for one product and score the held-out households.
+
+    A product whose training rows hold a single class is logged and gives no model;
+    any failure of an estimator is raised.
+    """
+    p = _prepare(table, product, products, settings)
+    if p is None:
+        return [], None
+    try:
+        return _fit(p, settings, list(CLASSIFIERS) if names is None else names, {})
     finally:
-        ready.unpersist()
+        p.ready.unpersist()
 
 
 def train_all_products(
-    table: DataFrame, products: Sequence[str], settings: Settings
+    table: DataFrame,
+    products: Sequence[str],
+    settings: Settings,
+    names: Sequence[str] | None = None,
 ) -> tuple[list[Fitted], DataFrame]:
     """All classifiers of all modelable products, and their scored held-out rows.
 
-    Products are fitted from a few driver threads: the fits are independent jobs
-    and fill each other's gaps.
+    Boosted trees of all products grow in the same passes.  The other estimators
+    are fitted from a few driver threads: the fits are independent jobs and fill
+    each other's gaps.
     """
     spark = table.sparkSession
+    names = list(CLASSIFIERS) if names is None else names
     chosen = sorted(r.product for r in modelable_products(table, products, settings).collect())
     for product in sorted(set(products) - set(chosen)):
         log.info("%s has too few holders to be modelled", product)
 
-    def one(product: str):
-        return train_product(table, product, products, settings)
+    def prepare(product: str):
+        return _prepare(table, product, products, settings)
+
+    def fit(job: tuple):
+        return _fit(job[0], settings, names, job[1])
 
     with ThreadPoolExecutor(settings.fit_threads) as pool:
-        results = list(pool.map(inheritable_thread_target(spark)(one), chosen))
+        made = pool.map(inheritable_thread_target(spark)(prepare), chosen)
+        prepared = [p for p in made if p is not None]
+        try:
+            known: list[dict] = [{} for _ in prepared]
+            if "boosted_trees" in names:
+                grown = _boosted([p.train for p in prepared], settings)
+                known = [{"boosted_trees": stages} for stages in grown]
+            results = list(pool.map(inheritable_thread_target(spark)(fit), zip(prepared, known)))
+        finally:
+            for p in prepared:
+                p.ready.unpersist()
     fitted = [f for models, _ in results for f in models]
     scored = [s for _, s in results if s is not None]
     if not scored:
@@ -358,19 +398,9 @@ def cost_forest(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
 
 
 def cost_boost(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
-    p = s.cost_boost
-    model = GBTRegressor(
-        labelCol="target",
-        lossType="squared",
-        maxIter=p.rounds,
-        maxDepth=p.depth,
-        stepSize=p.step,
-        subsamplingRate=p.row_share,
-        featureSubsetStrategy=p.column_share,
-        minInstancesPerNode=p.min_rows,
-        seed=s.seed,
-    ).fit(train)
-    return [model, _to_cost("prediction")]
+    labelled = train.withColumn("label", F.col("target"))
+    fit = fit_boosted([labelled], KEY, s.cost_boost, s.seed, logistic=False)[0]
+    return [to_spark(train.sparkSession, fit, logistic=False), _to_cost("prediction")]
 
 
 def _to_cost(expression: str) -> SQLTransformer:

@@ -38,11 +38,13 @@ def stage_classify(
 ) -> DataFrame:
     """Train, evaluate and register the best classifier of every modelable product.
 
-    Besides the summary it writes ROC points and lift curves of the test rows
-    (``roc``, ``lift``) and the leading features of every model (``importances``).
+    Besides the summary it writes the scores of the held-out households
+    (``held_scores``), ROC points and lift curves of the test rows (``roc``, ``lift``)
+    and the leading features of every model (``importances``).
     """
     table = io.scan_parquet(spark, f"{base}/households")
     fitted, scored = md.train_all_products(table, products, settings)
+    io.write_parquet(scored, f"{base}/held_scores")
     path = f"{base}/classification"
     io.write_parquet(md.classification_summary(scored), path)
     summary = io.scan_parquet(spark, path)
@@ -80,10 +82,11 @@ def stage_regress(
     """Train the cost models, register the best on validation rows, report test rows.
 
     The summary carries the R2 verdict of every model; ``residuals`` holds the
-    residual of every test row.
+    residual of every test row, ``held_costs`` the held-out predictions.
     """
     table = io.scan_parquet(spark, f"{base}/households")
     fitted, scored = md.train_cost_models(table, products, settings)
+    io.write_parquet(scored, f"{base}/held_costs")
     path = f"{base}/regression"
     verdict = r2_verdict(F.col("r2")).alias("verdict")
     io.write_parquet(md.regression_summary(scored).select("*", verdict), path)
