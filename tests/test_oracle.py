@@ -4,7 +4,9 @@ import pytest
 from compare import compare, duck
 
 from hearthscore.queries import ORACLE, QUERIES
+from hearthscore.queries.modelling import TRAINED
 
+# ``TRAINED`` needs products to train: tests/compare.py 0.01 checks those.
 # No product of the smallest tables passes the thresholds.
 EMPTY_WHEN_SMALL = {"modelable_products"}
 
@@ -14,7 +16,7 @@ def con(sf):
     return duck(sf)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - TRAINED))
 def test_query_matches_sql(spark, con, sf, name):
     note = compare(spark, con, QUERIES[name], ORACLE[name], sf)
     if name in EMPTY_WHEN_SMALL:
