@@ -18,7 +18,7 @@ from hearthscore.operators.quantiles import exact_medians, exact_percentiles
 
 
 def audit_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Missing count and percent of every column that has missing values; one pass."""
+    """Missing count and percent of every column that has missing values, most first; one pass."""
     columns = list(columns or df.columns)
     filled = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in columns])
     missing = F.col("_n") - F.col("filled")
@@ -30,6 +30,7 @@ def audit_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
             F.round(F.lit(100.0) * missing / F.col("_n"), 2).alias("missing_pct"),
         )
         .filter("missing_count > 0")
+        .orderBy(F.desc("missing_count"), "column_name")
     )
 
 

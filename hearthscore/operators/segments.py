@@ -74,6 +74,37 @@ def silhouette(df: DataFrame, vector: str, label: str) -> float:
     return evaluator.evaluate(df.select(vector, label))
 
 
+def centroid_silhouette(df: DataFrame, vector: str, label: str) -> float | None:
+    """Mean silhouette over all rows with Euclidean distances to cluster means.
+
+    A row's distances to the members of a cluster are replaced by its distance to the
+    cluster's mean, so one pass over the rows is enough.  As for the form with pairs, a
+    row alone in its cluster, or as near to both means, counts 0.  Null without rows or
+    with a single cluster.
+    """
+    rows = cluster_moments(df, vector, label).collect()
+    if len(rows) < 2:
+        return None
+    x = vector_to_array(vector)
+    apart = F.array(
+        *[
+            F.struct(
+                F.sqrt(sum(((x[i] - F.lit(float(v))) ** 2 for i, v in enumerate(r["mean"])), F.lit(0.0))).alias("d"),
+                F.lit(r.cluster).alias("cluster"),
+                F.lit(r.n == 1).alias("alone"),
+            )
+            for r in rows
+        ]
+    )
+    near = df.select(F.col(label).alias("own"), apart.alias("to"))
+    own = F.filter("to", lambda t: t["cluster"] == F.col("own"))[0]
+    other = F.array_min(F.transform(F.filter("to", lambda t: t["cluster"] != F.col("own")), lambda t: t["d"]))
+    near = near.select(own["d"].alias("a"), own["alone"].alias("alone"), other.alias("b"))
+    top = F.greatest("a", "b")
+    value = F.when(F.col("alone") | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
+    return near.agg(F.avg(value)).first()[0]
+
+
 # --- K-Means ------------------------------------------------------------------
 
 

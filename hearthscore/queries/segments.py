@@ -169,6 +169,22 @@ def silhouette_squared(spark, sf_dir):
     return out.select(F.round("silhouette", 6).alias("silhouette"))
 
 
+_CENTROID = """with item as (select vec_id, label, unnest(embedding::double[]) as x, generate_subscripts(embedding, 1) as i from embeddings),
+mean as (select label, i, avg(x) as m, count(*) as size from item group by 1, 2),
+apart as (select vec_id, t.label as own, m.label as l, sqrt(sum((x - m) ** 2)) as d, max(size) as size
+  from item t join mean m using (i) group by 1, 2, 3),
+nearest as (select vec_id, max(d) filter (where l = own) as a, min(d) filter (where l <> own) as b,
+  max(size) filter (where l = own) as size from apart group by 1)
+select round(avg(case when size = 1 or greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end), 6) as silhouette from nearest"""
+
+
+@query("silhouette_centroid", _CENTROID)
+def silhouette_centroid(spark, sf_dir):
+    value = sg.centroid_silhouette(vectors(spark, sf_dir), "v", "label")
+    out = spark.createDataFrame([(value,)], "silhouette double")
+    return out.select(F.round("silhouette", 6).alias("silhouette"))
+
+
 _KS = (2, 3, 4, 5, 10)
 
 

@@ -161,3 +161,22 @@ def test_more_clusters_than_distinct_points(spark):
     fit = sg.fit_kmeans(df, "id", 4, 1, 2, 50)
     assert fit.cost == 0 and fit.passes <= 3
     assert fit.transform(df).select("cluster").distinct().count() == 2
+
+
+def test_centroid_silhouette_against_numpy(spark):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(size=(40, 3)) + 2 * (np.arange(40) % 3)[:, None], [[50.0, 0, 0]]])
+    label = np.append(np.arange(40) % 3, 9)
+    rows = [([float(v) for v in r], int(c)) for r, c in zip(x, label)]
+    df = spark.createDataFrame(rows, "a array<double>, c int").withColumn("v", array_to_vector("a"))
+    names = np.unique(label)
+    far = np.array([np.sqrt(((x - x[label == c].mean(0)) ** 2).sum(1)) for c in names]).T
+    own = names[None, :] == label[:, None]
+    a, b = far[own], np.where(own, np.inf, far).min(1)
+    want = np.where(label == 9, 0.0, (b - a) / np.maximum(a, b)).mean()
+    assert sg.centroid_silhouette(df, "v", "c") == pytest.approx(want)
+    assert sg.centroid_silhouette(df.filter("c = 1"), "v", "c") is None
+    assert sg.centroid_silhouette(df.limit(0), "v", "c") is None
