@@ -85,24 +85,27 @@ def centroid_silhouette(df: DataFrame, vector: str, label: str) -> float | None:
     rows = cluster_moments(df, vector, label).collect()
     if len(rows) < 2:
         return None
-    x = vector_to_array(vector)
-    apart = F.array(
-        *[
-            F.struct(
-                F.sqrt(sum(((x[i] - F.lit(float(v))) ** 2 for i, v in enumerate(r["mean"])), F.lit(0.0))).alias("d"),
-                F.lit(r.cluster).alias("cluster"),
-                F.lit(r.n == 1).alias("alone"),
-            )
-            for r in rows
-        ]
-    )
-    near = df.select(F.col(label).alias("own"), apart.alias("to"))
-    own = F.filter("to", lambda t: t["cluster"] == F.col("own"))[0]
-    other = F.array_min(F.transform(F.filter("to", lambda t: t["cluster"] != F.col("own")), lambda t: t["d"]))
-    near = near.select(own["d"].alias("a"), own["alone"].alias("alone"), other.alias("b"))
-    top = F.greatest("a", "b")
-    value = F.when(F.col("alone") | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
-    return near.agg(F.avg(value)).first()[0]
+    names, alone = np.array([r.cluster for r in rows]), np.array([r.n == 1 for r in rows])
+    means = np.array([r["mean"] for r in rows])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = 0.0, 0
+        for batch in batches:
+            all_x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, means.shape[1])
+            labels = batch.column("label").to_numpy(zero_copy_only=False)
+            for at in range(0, len(all_x), 2048):
+                x, label = all_x[at : at + 2048], labels[at : at + 2048]
+                far = np.sqrt(((x[:, None, :] - means[None, :, :]) ** 2).sum(axis=2))
+                own = names[None, :] == label[:, None]
+                a, b = far[own], np.where(own, np.inf, far).min(axis=1)
+                top = np.maximum(a, b)
+                value = np.divide(b - a, top, out=np.zeros(len(x)), where=top > 0)
+                total, n = total + value[~(own & alone).any(axis=1)].sum(), n + len(x)
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.float64()), pa.array([n], pa.int64())], ["total", "n"])
+
+    values = df.select(vector_to_array(vector).alias("x"), F.col(label).alias("label"))
+    sums = values.mapInArrow(partial, "total double, n bigint")
+    return sums.agg(F.sum("total") / F.sum("n")).first()[0]
 
 
 # --- K-Means ------------------------------------------------------------------
