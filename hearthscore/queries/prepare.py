@@ -41,6 +41,45 @@ def scan_csv(spark, sf_dir):
     return plain(io.scan_csv(spark, path).select(*_FLAGS, *MEMBER_COLUMNS, "cancel_reason"))
 
 
+@query(
+    "scan_csv_multiline",
+    sql(
+        "select member_key, household_key, total_cost::double as total_cost,"
+        " member_key || chr(10) || '\"' || coalesce(zip, '') || '\",' || chr(10) as note from raw",
+        "raw",
+    ),
+)
+def scan_csv_multiline(spark, sf_dir):
+    """Every record has a value of several lines with quotes and commas."""
+    note = F.concat("member_key", F.lit('\n"'), F.coalesce("zip", F.lit("")), F.lit('",\n'))
+    path = scratch_path(spark, "notes-csv")
+    columns = ["member_key", "household_key", "total_cost", note.alias("note")]
+    io.write_csv(calls(spark, sf_dir).select(*columns), path)
+    return plain(io.scan_csv(spark, path, file_order=False))
+
+
+@query(
+    "csv_unparsable",
+    sql(
+        "select 'household_key' as column_name,"
+        " count(household_key) filter (where zip like '%7') as unparsable from raw union all"
+        " select 'total_cost', count(*) filter (where member_status = 'CANCELLED') from raw",
+        "raw",
+    ),
+)
+def csv_unparsable(spark, sf_dir):
+    """Keys of some ZIP codes and costs of cancelled members are made unreadable."""
+    key = F.when(F.col("zip").like("%7"), F.concat(F.lit("x"), "household_key")).otherwise(
+        F.col("household_key").cast("string")
+    )
+    cost = F.when(F.col("member_status") == "CANCELLED", "n/a").otherwise(
+        F.col("total_cost").cast("string")
+    )
+    path = scratch_path(spark, "spoiled-csv")
+    io.write_csv(calls(spark, sf_dir).select(key.alias("household_key"), cost.alias("total_cost")), path)
+    return io.unparsable(spark, path)
+
+
 @query(
     "scan_parquet",
     "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders"

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthscore.sources.records import multiline_records
+
 MONEY = "decimal(18,2)"
 
 # Types of the columns that are not text.  ZIP stays text (leading zeros).
@@ -27,38 +29,70 @@ def column_name(header: str) -> str:
     return re.sub(r"[^0-9a-z]+", "_", header.lower()).strip("_")
 
 
-def scan_csv(spark: SparkSession, path: str, file_order: bool = True) -> DataFrame:
+def _texts(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame, dict[str, str]]:
+    """Unparsed columns, with the place of each row in its file, and the header of each column."""
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    headers = {column_name(h): h for h in raw.columns if column_name(h) not in INDEX_COLUMNS}
+    records = multiline_records(spark, path) if multiline else None
+    if records is None:
+        place = [
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("row"),
+        ]
+        return raw.withColumn("_place", F.struct(*place)), headers
+    names = ["`" + h.replace("`", "``") + "` string" for h in raw.columns]
+    parsed = F.from_csv("text", ", ".join(names), {"escape": '"'}).alias("_record")
+    records = records.select(parsed, F.struct("file", "split", "row").alias("_place"))
+    return records.select("_record.*", "_place"), headers
+
+
+def _text_of(name: str, header: str) -> Column:
+    col = F.col("`" + header.replace("`", "``") + "`")
+    # a key column once held as float
+    return F.regexp_replace(col, r"\.0+$", "") if name == "household_key" else col
+
+
+def scan_csv(
+    spark: SparkSession, path: str, file_order: bool = True, multiline: bool = True
+) -> DataFrame:
     """Read the raw CSV with explicit types, without its unnamed index column.
 
     ``file_order`` adds (file, split start, row within split): the order of rows
     in the file, known without a shuffle.  Only the columns a query uses are
-    parsed, because the scan is text and the casts sit above it.
+    parsed, because the scan is text and the casts sit above it.  ``multiline``
+    looks for line breaks inside quotes first, which costs a pass over the text;
+    files without any are then read by lines.  Text that is not of its column's
+    type becomes null; :func:`unparsable` counts it.
     """
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw, headers = _texts(spark, path, multiline)
     picked = []
-    for header in raw.columns:
-        name = column_name(header)
-        if name in INDEX_COLUMNS:
-            continue
-        col = F.col(f"`{header}`")
-        if name == "household_key":
-            col = F.regexp_replace(col, r"\.0+$", "")  # a column once held as float
+    for name, header in headers.items():
+        col = _text_of(name, header)
         if name in RAW_TYPES:
             col = col.try_cast(RAW_TYPES[name])
         picked.append(col.alias(name))
     if file_order:
-        picked.append(
-            F.struct(
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_block_start").alias("split"),
-                F.monotonically_increasing_id().alias("row"),
-            ).alias("file_order")
-        )
+        picked.append(F.col("_place").alias("file_order"))
     return raw.select(*picked)
 
 
+def unparsable(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Per typed column, the values of the CSV that are there but not of the type; one aggregate."""
+    raw, headers = _texts(spark, path, multiline)
+    typed = {n: _text_of(n, h) for n, h in headers.items() if n in RAW_TYPES}
+    lost = raw.agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(c.isNotNull() & c.try_cast(RAW_TYPES[n]).isNull()).alias(n) for n, c in typed.items()],
+    )
+    return lost.unpivot(["_n"], list(typed), "column_name", "unparsable").drop("_n")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    """Values keep their outer blanks and line breaks; quotes inside are doubled, as the scan reads them."""
+    writer = df.write.option("header", True).option("escape", '"')
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    writer.options(**blanks).csv(path)
 
 
 def scan_parquet(spark: SparkSession, path: str, columns=None, where=None) -> DataFrame:
