@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -48,6 +48,25 @@ def grain_report(df: DataFrame) -> DataFrame:
     )
 
 
+def per_column(
+    df: DataFrame, columns: Sequence[str], measures: Callable[[Column], dict[str, Column]]
+) -> DataFrame:
+    """A row per column with its measures, from one aggregate over rows as they are.
+
+    ``measures`` gives named aggregates of a column, taken as doubles.  Each task
+    sends one wide row; nothing is unpivoted before the sums.
+    """
+    found = {c: measures(F.col(f"`{c}`").cast("double")) for c in columns}
+    wide = df.agg(
+        *[m.alias(f"{name}_{i}") for i, found_in in enumerate(found.values()) for name, m in found_in.items()]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{name}_{i}").alias(name) for name in found_in])
+        for i, (c, found_in) in enumerate(found.items())
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column."""
     quartiles = exact_percentiles(df, columns, [0.25, 0.5, 0.75])
@@ -55,15 +74,16 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         [(c, q[0.25], q[0.5], q[0.75]) for c, q in quartiles.items()],
         "column_name string, q25 double, q50 double, q75 double",
     )
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "x"
-    )
-    stats = long.groupBy("column_name").agg(
-        F.count("x").alias("n"),
-        F.avg("x").alias("mean"),
-        F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
+    stats = per_column(
+        df,
+        columns,
+        lambda x: {
+            "n": F.count(x),
+            "mean": F.avg(x),
+            "std": F.stddev_samp(x),
+            "min": F.min(x),
+            "max": F.max(x),
+        },
     )
     return stats.join(F.broadcast(table), "column_name")
 
@@ -276,20 +296,17 @@ def cost_profile(df: DataFrame, cost: str) -> DataFrame:
 
 
 def _means_and_variances(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple]:
-    rows = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "c", "x")
-        .groupBy("c")
-        .agg(F.avg("x").alias("mean"), F.var_samp("x").alias("var"))
-        .collect()
-    )
-    return {r.c: (r.mean, r["var"]) for r in rows if r["var"] is not None}
+    rows = per_column(df, columns, lambda x: {"mean": F.avg(x), "var": F.var_samp(x)}).collect()
+    return {r.column_name: (r.mean, r["var"]) for r in rows if r["var"] is not None}
+
+
+def _by_variance(known: dict[str, tuple], n: int) -> list[str]:
+    return sorted(known, key=lambda c: (-known[c][1], c))[:n]
 
 
 def top_variance(df: DataFrame, columns: Sequence[str], n: int) -> list[str]:
     """The ``n`` columns with the largest sample variance."""
-    known = _means_and_variances(df, columns)
-    return sorted(known, key=lambda c: (-known[c][1], c))[:n]
+    return _by_variance(_means_and_variances(df, columns), n)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], n: int = 20) -> DataFrame:
@@ -300,7 +317,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str], n: int = 20) -> Da
     them up.  As 190 separate aggregates the same sums take far longer.
     """
     known = _means_and_variances(df, columns)
-    top = sorted(known, key=lambda c: (-known[c][1], c))[:n]
+    top = _by_variance(known, n)
     means = np.array([known[c][0] for c in top])
     lower = np.tril_indices(len(top), -1)
 
@@ -346,16 +363,17 @@ def target_correlation(
 ) -> DataFrame:
     """Columns most correlated with the target; a high value hints at leakage."""
     others = [c for c in columns if c != target]
-    base = df.select(
-        F.col(target).cast("double").alias("t"), *[F.col(c).cast("double").alias(c) for c in others]
-    )
-    # Not corr(): it raises where a column is constant.
-    spread = F.stddev_pop("x") * F.stddev_pop("t")
+    t = F.col(f"`{target}`").cast("double")
+
+    def corr(x: Column) -> dict[str, Column]:
+        known = F.when(x.isNotNull(), t)
+        # Not corr(): it raises where a column is constant.
+        spread = F.stddev_pop(F.when(t.isNotNull(), x)) * F.stddev_pop(known)
+        return {"abs_corr": F.abs(F.try_divide(F.covar_pop(x, t), spread))}
+
     return (
-        base.unpivot(["t"], others, "feature", "x")
-        .filter("x is not null and t is not null")
-        .groupBy("feature")
-        .agg(F.abs(F.try_divide(F.covar_pop("x", "t"), spread)).alias("abs_corr"))
+        per_column(df, others, corr)
+        .withColumnRenamed("column_name", "feature")
         .filter("abs_corr is not null")
         .withColumn("suspicious", F.col("abs_corr") > limit)
         .orderBy(F.desc("abs_corr"), "feature")

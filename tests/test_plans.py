@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from hearthscore.operators import explore as ex
 from hearthscore.operators import household as hh
 from hearthscore.operators import members as mb
 from hearthscore.operators import metrics as mt
@@ -91,3 +92,13 @@ def test_raw_scan_is_pruned(spark, sf):
     df = src.raw_calls(spark, sf).select("member_key", "total_cost")
     scan = [l for l in plan(df).splitlines() if "lineitem.parquet" in l][0]
     assert "l_tax" not in scan and "l_discount" not in scan
+
+
+def test_column_statistics_send_one_row_a_task(spark):
+    """No row per column: sums are taken over the rows as they lie."""
+    df = spark.range(0, 4000, 1, 8).select(*[(F.col("id") * i % 97).alias(f"c{i}") for i in range(1, 13)])
+    found = ex.per_column(df, df.columns, lambda x: {"n": F.count(x), "mean": F.avg(x)})
+    assert "Expand" not in plan(found) and plan(found).count("Exchange") == 1
+    assert shuffled_rows(found) == [8]
+    assert [r.n for r in found.collect()] == [4000] * 12
+    assert "Expand" not in plan(ex.target_correlation(df, df.columns, "c1"))
