@@ -28,6 +28,7 @@ from operator import itemgetter
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,8 +73,11 @@ class Vocabulary:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
     @property
-    def texts(self) -> dict[int, str]:
-        return {i: p for p, i in self.ids.items()}
+    def spelling(self) -> list[bytes]:
+        """The bytes of every id; ids that spell nothing have none."""
+        known = {i: p.encode() for p, i in self.ids.items()}
+        known |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        return [known.get(i, b"") for i in range(max(known) + 1)]
 
 
 def read_vocabulary(path: str) -> Vocabulary:
@@ -312,13 +316,14 @@ def _encoder_of(vocabulary) -> Encoder:
 CHUNK = pa.schema(
     [
         *[(c, pa.int64()) for c in ("unit", "id", "chunk", "n_chunks")],
+        ("digest", pa.string()),
         ("cut", pa.bool_()),
         *[(c, pa.string()) for c in ("middle", "head", "tail")],
         ("stop", pa.int32()),
     ]
 )
 CHUNK_DDL = (
-    "unit long, id long, chunk long, n_chunks long, cut boolean, middle string,"
+    "unit long, id long, chunk long, n_chunks long, digest string, cut boolean, middle string,"
     " head string, tail string, stop int"
 )
 
@@ -326,12 +331,12 @@ CHUNK_DDL = (
 def _split(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, doc, text in pylists(batch):
+            for unit, doc, text, digest in pylists(batch):
                 text = " " + text
                 rows, n = [], -(-len(text) // CHUNK_CHARS)
                 for i, at in enumerate(range(0, len(text), CHUNK_CHARS)):
                     end = at + CHUNK_CHARS
-                    rows.append((unit, doc, i, n, *cut_ends(text[at:end], text[end : end + reach])))
+                    rows.append((unit, doc, i, n, digest, *cut_ends(text[at:end], text[end : end + reach])))
                     if len(rows) == 256:
                         yield batch_of(CHUNK, rows)
                         rows = []
@@ -397,12 +402,15 @@ def _sweep_down(levels: list[DataFrame], start: bytes, step: Callable, backwards
 
 
 ENDS = ("cut", "head", "tail", "stop")
-IDS = "id long, chunk long, n_chunks long, ids array<int>"
+IDS = "unit long, id long, chunk long, n_chunks long, digest string, ids array<int>"
+PLACE = ("unit", "id", "chunk", "n_chunks", "digest")
 
 
-def _rows(ids: list, chunks: list, sizes: list, packed: list[bytes]) -> pa.RecordBatch:
-    arrays = [pa.array(c, pa.int64()) for c in (ids, chunks, sizes)]
-    return pa.RecordBatch.from_arrays([*arrays, _lists(packed)], ["id", "chunk", "n_chunks", "ids"])
+def _rows(places: list[tuple], packed: list[bytes]) -> pa.RecordBatch:
+    columns = list(zip(*places)) or [()] * len(PLACE)
+    kinds = [pa.string() if c == "digest" else pa.int64() for c in PLACE]
+    arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays([*arrays, _lists(packed)], [*PLACE, "ids"])
 
 
 def _encode_ends(ends: DataFrame, vocabulary, longest: int) -> DataFrame:
@@ -440,14 +448,12 @@ def _encode_ends(ends: DataFrame, vocabulary, longest: int) -> DataFrame:
     def trace(batches):
         v = _encoder_of(vocabulary).v
         for batch in batches:
-            docs, places, sizes, packed = [], [], [], []
-            for doc, c, n, *e, x, y in pylists(batch):
+            places, packed = [], []
+            for unit, doc, c, n, digest, *e, x, y in pylists(batch):
                 head, tail, _ = Ends(v, *e).trace(_unpack(x).tolist(), int(_unpack(y)[0]))
-                docs += [doc, doc]
-                places += [3 * c, 3 * c + 2]
-                sizes += [3 * n, 3 * n]
+                places += [(unit, doc, 3 * c + i, 3 * n, digest) for i in (0, 2)]
                 packed += [_packed(head), _packed(tail)]
-            yield _rows(docs, places, sizes, packed)
+            yield _rows(places, packed)
 
     keys = ["unit", "chunk"]
     cells = stage_table(ends.select(*keys, *ENDS).mapInArrow(matrices, tri), "matrices")
@@ -456,7 +462,7 @@ def _encode_ends(ends: DataFrame, vocabulary, longest: int) -> DataFrame:
     known = ends.join(entry.withColumnRenamed("x", "entry"), keys)
     maps = stage_table(known.select(*keys, *ENDS, "entry").mapInArrow(origins, tri), "origins")
     behind = _sweep_down(_scan(maps, compose, 1), _pack(np.array([0])), pass_map, True)
-    ready = known.join(behind, keys).select("id", "chunk", "n_chunks", *ENDS, "entry", "x")
+    ready = known.join(behind, keys).select(*PLACE, *ENDS, "entry", "x")
     return ready.mapInArrow(trace, IDS)
 
 
@@ -476,6 +482,15 @@ def encode(
     like others; other columns are ignored; an empty table gives an empty
     result.
     """
+    short, long = _parts(df, vocabulary, id_col, text_col)
+    return short.unionByName(long).select("id", "chunk", "n_chunks", "ids")
+
+
+def _parts(df: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of the short texts and, staged, of the others, with the digest of their text.
+
+    ``unit`` numbers the longer texts, whatever their ids; short ones have none.
+    """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     one = F.char_length("text") < CHUNK_CHARS
@@ -488,27 +503,47 @@ def encode(
     def middles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder_of(shared)
         for batch in batches:
-            ids, chunks, sizes, texts = zip(*pylists(batch)) if batch.num_rows else ((),) * 4
-            places = [3 * c + 1 for c in chunks]
-            yield _rows(list(ids), places, [3 * n for n in sizes], [encoder.words(t) for t in texts])
-
-    nought = F.lit(0).cast("long")
-    short = rows.where(one).select("id", nought.alias("chunk"), (nought + 1).alias("n_chunks"), whole("text").alias("ids"))
-    giants = rows.where(~one).select(F.monotonically_increasing_id().alias("unit"), "id", "text")
+            rows = list(pylists(batch))
+            places = [(unit, doc, 3 * c + 1, 3 * n, digest) for unit, doc, c, n, digest, _ in rows]
+            yield _rows(places, [encoder.words(text) for *_, text in rows])
+
+    nought, digest = F.lit(0).cast("long"), F.sha2("text", 256).alias("digest")
+    no_unit = F.lit(None).cast("long").alias("unit")
+    short = rows.where(one).select(
+        no_unit, "id", nought.alias("chunk"), (nought + 1).alias("n_chunks"), digest, whole("text").alias("ids")
+    )
+    giants = rows.where(~one).select(F.monotonically_increasing_id().alias("unit"), "id", "text", digest)
     cut = stage_table(giants.mapInArrow(_split(vocabulary.longest - 1), CHUNK_DDL), "chunks")
-    words = cut.select("id", "chunk", "n_chunks", "middle").mapInArrow(middles, IDS)
-    return short.unionByName(words).unionByName(_encode_ends(cut.drop("middle"), shared, vocabulary.longest))
+    words = cut.select(*PLACE, "middle").mapInArrow(middles, IDS)
+    ends = _encode_ends(cut.drop("middle"), shared, vocabulary.longest)
+    return short, stage_table(words.unionByName(ends), "long_texts")
 
 
-def decode_ids(vocabulary: Vocabulary, first: bool, ids: list[int]) -> str:
-    """Text of the pieces of one chunk; the first chunk opens with the blank put there."""
-    texts = vocabulary.texts
-    return _decode(texts, {i: b for b, i in enumerate(vocabulary.byte_ids)}, first, ids)
+def round_trip(
+    df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of :func:`encode`, each with ``text_sha256``, the digest of the text that all
+    pieces of its document spell, and ``round_trip``: whether that is the text encoded.
+
+    Texts of one chunk are decoded where they are encoded; chunks of the others
+    are decoded on their own and meet by text, as long as the input's row.
+    Null and empty texts spell the empty text; repeated ids are kept apart.
+    """
+    short, long = _parts(df, vocabulary, id_col, text_col)
+    spelled = decode(short, vocabulary, "_text").withColumn("text_sha256", F.sha2("_text", 256))
+    in_order = F.array_sort(F.collect_list(F.struct("chunk", "_text")))
+    text = F.array_join(F.transform(in_order, lambda c: c["_text"]), "")
+    joined = decode(long, vocabulary, "_text").groupBy("unit").agg(F.sha2(text, 256).alias("text_sha256"))
+    found = spelled.drop("_text").unionByName(long.join(joined, "unit"))
+    same = (F.col("text_sha256") == F.col("digest")).alias("round_trip")
+    return found.select("id", "chunk", "n_chunks", "ids", "text_sha256", same)
 
 
-def _decode(texts: dict[int, str], byte_of: dict[int, int], first: bool, ids: list[int]) -> str:
-    raw = b"".join(texts[i].encode() if i in texts else bytes([byte_of[i]]) for i in ids)
-    return raw.decode()[1:] if first else raw.decode()
+def decode_ids(vocabulary: Vocabulary, first: bool, ids: list[int]) -> str:
+    """Text of the pieces of one chunk; the first chunk opens with the blank put there."""
+    table = vocabulary.spelling
+    text = b"".join(table[i] for i in ids).decode()
+    return text[1:] if first else text
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "text") -> DataFrame:
@@ -520,9 +555,10 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "text") -> Dat
 
     @F.arrow_udf("string")
     def spell(first: pa.Array, ids: pa.Array) -> pa.Array:
-        v = shared.value
-        texts, byte_of = v.texts, {i: b for b, i in enumerate(v.byte_ids)}
-        pairs = zip(first.to_pylist(), ids.to_pylist())
-        return pa.array([_decode(texts, byte_of, f, x) for f, x in pairs], pa.string())
+        table = pa.array(shared.value.spelling, pa.large_binary())
+        offsets = pc.subtract(ids.offsets, ids.offsets[0])
+        parts = pa.LargeListArray.from_arrays(offsets.cast(pa.int64()), table.take(ids.flatten()))
+        texts = pc.binary_join(parts, pa.scalar(b"", pa.large_binary())).cast(pa.large_string())
+        return pc.if_else(first, pc.utf8_slice_codeunits(texts, 1), texts).cast(pa.string())
 
     return encoded.withColumn(out, spell(F.col("chunk") == 0, F.col("ids")))

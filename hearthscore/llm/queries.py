@@ -66,7 +66,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.read_vocabulary(f"{TOKENIZERS}/{PIECES}")
-    return pieces.encode(table(spark, sf_dir, "documents"), vocabulary).withColumnRenamed("id", "doc_id")
+    docs = table(spark, sf_dir, "documents")
+    return pieces.round_trip(docs, vocabulary).withColumnRenamed("id", "doc_id")
 
 
 @query("op5_simhash")

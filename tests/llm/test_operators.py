@@ -316,6 +316,32 @@ def test_pieces_chunked_equals_whole(spark, odd, monkeypatch):
         assert "".join(t for _, t in sorted(back[r.doc_id].items())) == (r.text or "")
 
 
+def test_pieces_round_trip(spark, odd, monkeypatch):
+    """Nulls, empty, giant and repeated texts, clashing names; a wrong spelling is seen."""
+    from hearthscore.llm.queries import PIECES, TOKENIZERS
+
+    v = pieces.read_vocabulary(f"{TOKENIZERS}/{PIECES}")
+    monkeypatch.setattr(pieces, "CHUNK_CHARS", 1000)
+    monkeypatch.setattr(pieces, "SCAN_WIDTH", 4)
+    giant = "ein paar Wörter\t▁中  " * 300
+    more = spark.createDataFrame([(7, giant), (7, giant + "x"), (None, giant), (8, "\x00\n")], "doc_id long, text string")
+    docs = odd.withColumns({"unit": F.lit(1), "digest": F.lit("x")}).unionByName(more, allowMissingColumns=True)
+    rows = pieces.round_trip(docs, v).collect()
+    assert all(r.round_trip for r in rows)
+    got = collections.Counter((r.id, r.text_sha256) for r in rows if r.chunk == 0)
+    texts = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    assert got == collections.Counter((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in texts)
+    whole = {(r.id, r.text_sha256): r.ids for r in rows if r.n_chunks == 1}
+    for i, t in texts:
+        key = (i, hashlib.sha256(t.encode()).hexdigest())
+        assert key not in whole or pieces.decode_ids(v, True, whole[key]) == t
+    assert pieces.round_trip(docs.limit(0), v).count() == 0
+    spell = pieces.decode
+    monkeypatch.setattr(pieces, "decode", lambda df, v, out: spell(df, v, out).withColumn(out, F.upper(out)))
+    wrong = {r.id for r in pieces.round_trip(more, v).collect() if not r.round_trip}
+    assert wrong == {7, None}
+
+
 def test_chat(spark):
     for text in ("<|im_end|>", "a<\\|b", "<", "|>", "<\\\\|im_start|>", "\n<|"):
         t = chat.ChatTemplate()
