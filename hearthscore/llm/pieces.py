@@ -36,6 +36,9 @@ from hearthscore.llm.common import batch_of, pylists
 from hearthscore.session import stage_table
 
 CHUNK_CHARS = 16384
+SPELL_ROWS = 64  # chunks decoded at a time
+PRIME = 2**128 - 159
+BROADCAST_UNITS = 500_000  # longer texts whose fingerprints (under 100 bytes each) are broadcast; beyond, joined
 SCAN_WIDTH = 64  # matrices or maps that one task combines at a time
 NEVER = -(1 << 60)
 MEMO = 200_000  # remembered words; forgetting them costs time only
@@ -316,14 +319,14 @@ def _encoder_of(vocabulary) -> Encoder:
 CHUNK = pa.schema(
     [
         *[(c, pa.int64()) for c in ("unit", "id", "chunk", "n_chunks")],
-        ("digest", pa.string()),
+        ("source", pa.string()),
         ("cut", pa.bool_()),
         *[(c, pa.string()) for c in ("middle", "head", "tail")],
         ("stop", pa.int32()),
     ]
 )
 CHUNK_DDL = (
-    "unit long, id long, chunk long, n_chunks long, digest string, cut boolean, middle string,"
+    "unit long, id long, chunk long, n_chunks long, source string, cut boolean, middle string,"
     " head string, tail string, stop int"
 )
 
@@ -331,12 +334,13 @@ CHUNK_DDL = (
 def _split(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, doc, text, digest in pylists(batch):
+            for unit, doc, text in pylists(batch):
+                source = fingerprint([text.encode()])
                 text = " " + text
                 rows, n = [], -(-len(text) // CHUNK_CHARS)
                 for i, at in enumerate(range(0, len(text), CHUNK_CHARS)):
                     end = at + CHUNK_CHARS
-                    rows.append((unit, doc, i, n, digest, *cut_ends(text[at:end], text[end : end + reach])))
+                    rows.append((unit, doc, i, n, source, *cut_ends(text[at:end], text[end : end + reach])))
                     if len(rows) == 256:
                         yield batch_of(CHUNK, rows)
                         rows = []
@@ -402,13 +406,13 @@ def _sweep_down(levels: list[DataFrame], start: bytes, step: Callable, backwards
 
 
 ENDS = ("cut", "head", "tail", "stop")
-IDS = "unit long, id long, chunk long, n_chunks long, digest string, ids array<int>"
-PLACE = ("unit", "id", "chunk", "n_chunks", "digest")
+IDS = "unit long, id long, chunk long, n_chunks long, source string, ids array<int>"
+PLACE = ("unit", "id", "chunk", "n_chunks", "source")
 
 
 def _rows(places: list[tuple], packed: list[bytes]) -> pa.RecordBatch:
     columns = list(zip(*places)) or [()] * len(PLACE)
-    kinds = [pa.string() if c == "digest" else pa.int64() for c in PLACE]
+    kinds = [pa.string() if c == "source" else pa.int64() for c in PLACE]
     arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
     return pa.RecordBatch.from_arrays([*arrays, _lists(packed)], [*PLACE, "ids"])
 
@@ -449,9 +453,9 @@ def _encode_ends(ends: DataFrame, vocabulary, longest: int) -> DataFrame:
         v = _encoder_of(vocabulary).v
         for batch in batches:
             places, packed = [], []
-            for unit, doc, c, n, digest, *e, x, y in pylists(batch):
+            for unit, doc, c, n, source, *e, x, y in pylists(batch):
                 head, tail, _ = Ends(v, *e).trace(_unpack(x).tolist(), int(_unpack(y)[0]))
-                places += [(unit, doc, 3 * c + i, 3 * n, digest) for i in (0, 2)]
+                places += [(unit, doc, 3 * c + i, 3 * n, source) for i in (0, 2)]
                 packed += [_packed(head), _packed(tail)]
             yield _rows(places, packed)
 
@@ -487,7 +491,7 @@ def encode(
 
 
 def _parts(df: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of the short texts and, staged, of the others, with the digest of their text.
+    """Rows of the short texts and, staged, of the others, with the fingerprint of their text.
 
     ``unit`` numbers the longer texts, whatever their ids; short ones have none.
     """
@@ -504,39 +508,77 @@ def _parts(df: DataFrame, vocabulary: Vocabulary, id_col: str, text_col: str) ->
         encoder = _encoder_of(shared)
         for batch in batches:
             rows = list(pylists(batch))
-            places = [(unit, doc, 3 * c + 1, 3 * n, digest) for unit, doc, c, n, digest, _ in rows]
+            places = [(unit, doc, 3 * c + 1, 3 * n, source) for unit, doc, c, n, source, _ in rows]
             yield _rows(places, [encoder.words(text) for *_, text in rows])
 
-    nought, digest = F.lit(0).cast("long"), F.sha2("text", 256).alias("digest")
+    @F.arrow_udf("string")
+    def source_of(texts: pa.Array) -> pa.Array:
+        return pa.array([fingerprint([t.as_py().encode()]) for t in texts], pa.string())
+
+    nought, source = F.lit(0).cast("long"), source_of("text").alias("source")
     no_unit = F.lit(None).cast("long").alias("unit")
     short = rows.where(one).select(
-        no_unit, "id", nought.alias("chunk"), (nought + 1).alias("n_chunks"), digest, whole("text").alias("ids")
+        no_unit, "id", nought.alias("chunk"), (nought + 1).alias("n_chunks"), source, whole("text").alias("ids")
     )
-    giants = rows.where(~one).select(F.monotonically_increasing_id().alias("unit"), "id", "text", digest)
+    giants = rows.where(~one).select(F.monotonically_increasing_id().alias("unit"), "id", "text")
     cut = stage_table(giants.mapInArrow(_split(vocabulary.longest - 1), CHUNK_DDL), "chunks")
     words = cut.select(*PLACE, "middle").mapInArrow(middles, IDS)
     ends = _encode_ends(cut.drop("middle"), shared, vocabulary.longest)
     return short, stage_table(words.unionByName(ends), "long_texts")
 
 
+def _residue(raw: bytes) -> tuple[int, int]:
+    return int.from_bytes(raw, "big") % PRIME, len(raw)
+
+
+def fingerprint(parts: list[bytes]) -> str:
+    """Fingerprint of the parts set one after the other: their bytes as a number to base 256,
+    modulo a prime of 128 bits, and how many bytes they are."""
+    return _chained([_residue(p) for p in parts])
+
+
+def _chained(residues: list[tuple[int, int]]) -> str:
+    """The fingerprint of texts whose residues are known, so that no text has to move."""
+    total, length = 0, 0
+    for value, n in residues:
+        total, length = (total * pow(256, n, PRIME) + value) % PRIME, length + n
+    return f"{total:032x}-{length}"
+
+
 def round_trip(
     df: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of :func:`encode`, each with ``text_sha256``, the digest of the text that all
-    pieces of its document spell, and ``round_trip``: whether that is the text encoded.
+    """The rows of :func:`encode`, each with ``spelled``, the fingerprint of the text that all
+    pieces of its document spell, and ``round_trip``: whether the text encoded has the same.
 
-    Texts of one chunk are decoded where they are encoded; chunks of the others
-    are decoded on their own and meet by text, as long as the input's row.
-    Null and empty texts spell the empty text; repeated ids are kept apart.
+    Every chunk is decoded on its own, where its pieces are; of longer texts only
+    the residues of the chunks meet, never the texts.  Null and empty texts spell
+    the empty text; repeated ids are kept apart.
     """
     short, long = _parts(df, vocabulary, id_col, text_col)
-    spelled = decode(short, vocabulary, "_text").withColumn("text_sha256", F.sha2("_text", 256))
-    in_order = F.array_sort(F.collect_list(F.struct("chunk", "_text")))
-    text = F.array_join(F.transform(in_order, lambda c: c["_text"]), "")
-    joined = decode(long, vocabulary, "_text").groupBy("unit").agg(F.sha2(text, 256).alias("text_sha256"))
-    found = spelled.drop("_text").unionByName(long.join(joined, "unit"))
-    same = (F.col("text_sha256") == F.col("digest")).alias("round_trip")
-    return found.select("id", "chunk", "n_chunks", "ids", "text_sha256", same)
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.arrow_udf("string")
+    def spelled(first: pa.Array, ids: pa.Array) -> pa.Array:
+        return pa.array([fingerprint([raw]) for raw in _spell(shared.value, first, ids)], pa.string())
+
+    @F.arrow_udf("string")
+    def chained(parts: pa.Array) -> pa.Array:
+        rows = ([p["spelled"].split("-") for p in row.as_py()] for row in parts)
+        return pa.array([_chained([(int(v, 16), int(n)) for v, n in row]) for row in rows], pa.string())
+
+    def of_chunk(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("spelled", spelled(F.col("chunk") == 0, F.col("ids")))
+
+    parts = of_chunk(long).select("unit", "chunk", "spelled").groupBy("unit").agg(
+        F.array_sort(F.collect_list(F.struct("chunk", "spelled"))).alias("parts")
+    )
+    units = stage_table(parts.select("unit", chained("parts").alias("spelled")), "spelled")
+    if units.count() <= BROADCAST_UNITS:
+        units = F.broadcast(units)
+    found = of_chunk(short).unionByName(long.join(units, "unit"))
+    same = (F.col("spelled") == F.col("source")).alias("round_trip")
+    return found.select("id", "chunk", "n_chunks", "ids", "spelled", same)
 
 
 def decode_ids(vocabulary: Vocabulary, first: bool, ids: list[int]) -> str:
@@ -546,6 +588,28 @@ def decode_ids(vocabulary: Vocabulary, first: bool, ids: list[int]) -> str:
     return text[1:] if first else text
 
 
+def _spell(v: Vocabulary, first: pa.Array, ids: pa.Array) -> Iterator[bytes]:
+    """What each row of ids spells, without the blank put before a first chunk; few rows at a time."""
+    table = _spelling_of(v)
+    for at in range(0, len(ids), SPELL_ROWS):
+        some = ids.slice(at, SPELL_ROWS)
+        offsets = pc.subtract(some.offsets, some.offsets[0]).cast(pa.int64())
+        parts = pa.LargeListArray.from_arrays(offsets, table.take(some.flatten()))
+        joined = pc.binary_join(parts, pa.scalar(b"", pa.large_binary()))
+        for is_first, raw in zip(first.slice(at, SPELL_ROWS).to_pylist(), joined):
+            yield raw.as_py()[1 if is_first else 0 :]
+
+
+_spellings: list[tuple[Vocabulary, pa.Array]] = []
+
+
+def _spelling_of(v: Vocabulary) -> pa.Array:
+    """The worker's table of a vocabulary's spellings."""
+    if not _spellings or _spellings[0][0] is not v:
+        _spellings[:] = [(v, pa.array(v.spelling, pa.large_binary()))]
+    return _spellings[0][1]
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "text") -> DataFrame:
     """The rows of :func:`encode` with the text that each chunk's pieces spell.
 
@@ -555,10 +619,6 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, out: str = "text") -> Dat
 
     @F.arrow_udf("string")
     def spell(first: pa.Array, ids: pa.Array) -> pa.Array:
-        table = pa.array(shared.value.spelling, pa.large_binary())
-        offsets = pc.subtract(ids.offsets, ids.offsets[0])
-        parts = pa.LargeListArray.from_arrays(offsets.cast(pa.int64()), table.take(ids.flatten()))
-        texts = pc.binary_join(parts, pa.scalar(b"", pa.large_binary())).cast(pa.large_string())
-        return pc.if_else(first, pc.utf8_slice_codeunits(texts, 1), texts).cast(pa.string())
+        return pa.array([raw.decode() for raw in _spell(shared.value, first, ids)], pa.string())
 
     return encoded.withColumn(out, spell(F.col("chunk") == 0, F.col("ids")))
