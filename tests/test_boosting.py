@@ -116,3 +116,20 @@ def test_ranks_as_well_as_the_built_in_one(data, tables):
     theirs = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.2, minInstancesPerNode=3).fit(train)
     auc = BinaryClassificationEvaluator()
     assert auc.evaluate(mine.transform(test)) > auc.evaluate(theirs.transform(test)) - 0.02
+
+
+def test_histograms_of_many_tasks_are_added_by_a_shuffle(data, tables, monkeypatch):
+    x, *_ = data
+    df = tables.withColumn("label", F.col("y"))
+    few = bo.fit_boosted([df], "k", PLAIN, 1, True)[0]
+    monkeypatch.setattr(bo, "FEW_TASKS", 0)
+    monkeypatch.setattr(bo, "BLOCK", 50)
+    many = bo.fit_boosted([df], "k", PLAIN, 1, True)[0]
+    assert many.margin(x) == pytest.approx(few.margin(x), rel=1e-9)
+
+
+def test_a_pass_fills_the_cores_in_whole_rounds(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert bo._tasks(0, spark) == 1 and bo._tasks(3 << 20, spark) <= 4
+    assert bo._tasks(cores * bo.TASK_BYTES, spark) == cores
+    assert bo._tasks(10 * cores * bo.TASK_BYTES + 1, spark) == 11 * cores

@@ -137,3 +137,20 @@ def test_a_later_run_replaces_better_older_models(spark):
             {"task": "classify", "target": target, "model": model, "path": model, "validation": value}
         ])
     assert registry.best_models(spark, base, "classify") == {"a": "new"}
+
+
+def test_classify_and_regress_run_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    from hearthscore.plans import stages
+
+    both, seen = threading.Barrier(2, timeout=60), []
+
+    def stage(*given):
+        both.wait()
+        seen.append(given[1:])
+
+    monkeypatch.setattr(stages, "stage_classify", stage)
+    monkeypatch.setattr(stages, "stage_regress", stage)
+    stages.train_models(spark, "base", ["alpha"], None)
+    assert seen == [("base", ["alpha"], None)] * 2
