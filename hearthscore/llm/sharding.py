@@ -12,14 +12,14 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearthscore.llm.common import fresh, hex64
 from hearthscore.session import stage_table
 
 TOLERANCE = 0.01  # of a shard's fair share
-RANGE_BYTES = 2 * 1024**3  # a shard is sorted in ranges of about this size
+RANGE_BYTES = 256 * 1024**2  # a shard is sorted in ranges of about this size
 FIRST_DIGITS = 2
 HASH_DIGITS = 16
 
@@ -125,4 +125,9 @@ def shard_rows(
 
 def write_shards(sharded: DataFrame, path: str) -> None:
     """One folder of Parquet files per shard."""
-    sharded.write.partitionBy("shard").parquet(path)
+    sharded.write.option("compression", "zstd").partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The rows of all shards, with the columns of the table that was written."""
+    return spark.read.schema(like.schema).parquet(path)

@@ -484,3 +484,20 @@ def test_pipeline_keeps_one_of_each(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     ids = [r.doc_id for r in out.select("doc_id").distinct().collect()]
     assert 0 < len(ids) < docs.count() and [n for n, _ in corpus_pipeline.STAGES][3] == "near_duplicates"
+
+
+def test_op8_writes_whole_documents_into_their_shards(spark, tmp_path, monkeypatch):
+    from hearthscore.llm import queries
+
+    rows = [(i, None if i % 9 == 0 else f"text {i % 40} " * (i % 7), "web") for i in range(200)]
+    rows += [(7, "text 7 ", "web"), (None, "no id", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: f"file://{tmp_path}/{name}")
+    out = queries.op8_sharding(spark, f"file://{tmp_path}")
+    stored = spark.read.parquet(f"file://{tmp_path}/shards")
+    assert sorted(map(repr, stored.select("doc_id", "text", "source").collect())) == sorted(
+        map(repr, spark.createDataFrame(rows, "doc_id long, text string, source string").collect())
+    )
+    places = out.select("doc_id", "shard", "slot").collect()
+    assert sorted(map(repr, places)) == sorted(map(repr, stored.select("doc_id", "shard", "slot").collect()))
+    assert len({(r.shard, r.slot) for r in places}) == len(rows)
