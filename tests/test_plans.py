@@ -102,3 +102,16 @@ def test_column_statistics_send_one_row_a_task(spark):
     assert shuffled_rows(found) == [8]
     assert [r.n for r in found.collect()] == [4000] * 12
     assert "Expand" not in plan(ex.target_correlation(df, df.columns, "c1"))
+
+
+def test_lines_meet_their_orders_last(spark, sf):
+    """One exchange of joined lines, by order; customers join the orders."""
+    from hearthscore.sources import tpch_calls as src
+
+    quiet = spark.newSession()
+    quiet.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = src.raw_calls(quiet, sf)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 3 and "l_orderkey" in joins[0] and "o_orderkey" in joins[0]
+    assert sum("o_custkey" in line and "c_custkey" in line for line in joins) == 1
+    assert not any("hashpartitioning(o_custkey" in line and "l_" in line for line in plan.splitlines())
