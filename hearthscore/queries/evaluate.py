@@ -46,7 +46,7 @@ def shares(spark, sf_dir):
 
 def scores(spark, sf_dir):
     """(household, product, model, y, p): two share-based scores per product."""
-    table = households(spark, sf_dir).select("household_key", *DENSE)
+    table = households(spark, sf_dir, "household_key", *DENSE)
     rows = [
         F.struct(
             F.lit(p).alias("product"),

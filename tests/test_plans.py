@@ -115,3 +115,11 @@ def test_lines_meet_their_orders_last(spark, sf):
     assert len(joins) == 3 and "l_orderkey" in joins[0] and "o_orderkey" in joins[0]
     assert sum("o_custkey" in line and "c_custkey" in line for line in joins) == 1
     assert not any("hashpartitioning(o_custkey" in line and "l_" in line for line in plan.splitlines())
+
+
+def test_scores_keep_only_their_columns_of_the_household_table(spark, sf):
+    from hearthscore.queries.catalog import households
+
+    whole, some = households(spark, sf), households(spark, sf, "household_key", "economy")
+    assert some.columns == ["household_key", "economy"]
+    assert sorted(some.collect()) == sorted(whole.select(*some.columns).collect())
