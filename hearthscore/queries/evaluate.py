@@ -389,7 +389,7 @@ def residual_qq(spark, sf_dir):
     ),
 )
 def log_target(spark, sf_dir):
-    costs = cost_pivot(calls(spark, sf_dir), src.COST_YEARS).select(
+    costs = cost_pivot(calls(spark, sf_dir, grouped=True), src.COST_YEARS).select(
         "member_key", F.col("total_cost").cast("double").alias("target")
     )
     return costs.withColumn("logged", F.log1p("target")).select(

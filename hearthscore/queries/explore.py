@@ -18,6 +18,7 @@ from hearthscore.operators import members as mb
 from hearthscore.queries.catalog import calls, features, households, plain, query
 from hearthscore.queries.households import FEATURES, K
 from hearthscore.queries.oracle_base import _case, sql, yn
+from hearthscore.session import stage_table
 from hearthscore.sources import tpch_calls as src
 
 _RAW = [
@@ -255,8 +256,8 @@ def zero_inflation(spark, sf_dir):
     ),
 )
 def cost_profile(spark, sf_dir):
-    costs = mb.cost_pivot(calls(spark, sf_dir), src.COST_YEARS).select("total_cost")
-    out = ex.cost_profile(costs, "total_cost")
+    costs = mb.cost_pivot(calls(spark, sf_dir, grouped=True), src.COST_YEARS).select("total_cost")
+    out = ex.cost_profile(stage_table(costs, "costs"), "total_cost")
     return out.withColumn("median_nonzero", F.round("median_nonzero", 6))
 
 

@@ -129,4 +129,4 @@ def preprocess_households(spark, sf_dir):
     from hearthscore.plans.preprocess import preprocess
     from hearthscore.queries.catalog import calls
 
-    return plain(preprocess(calls(spark, sf_dir), src.COST_YEARS).select(*FEATURES))
+    return plain(preprocess(calls(spark, sf_dir, grouped=True), src.COST_YEARS).select(*FEATURES))

@@ -243,7 +243,7 @@ _COST_LIST += ", total_cost::double as total_cost"
 
 @query("cost_pivot", sql(f"select member_key, {_COST_LIST} from cost", "cost"))
 def cost_pivot(spark, sf_dir):
-    return plain(mb.cost_pivot(calls(spark, sf_dir), src.COST_YEARS))
+    return plain(mb.cost_pivot(calls(spark, sf_dir, grouped=True), src.COST_YEARS))
 
 
 @query(
@@ -283,7 +283,7 @@ _ENC_OUT = [
     ),
 )
 def encoded_members(spark, sf_dir):
-    out = mb.encoded_members(calls(spark, sf_dir), src.COST_YEARS)
+    out = mb.encoded_members(calls(spark, sf_dir, grouped=True), src.COST_YEARS)
     names = [f"cost_{y}" for y in src.COST_YEARS]
     return plain(
         out.select(*_ENC_OUT, *src.PRODUCTS, "primary_member", "associate_member", *names, "total_cost")

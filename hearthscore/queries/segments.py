@@ -82,7 +82,7 @@ from ({_CELLS})""",
     ),
 )
 def preprocess_matrix(spark, sf_dir):
-    matrix, names, _ = preprocess_pipeline(calls(spark, sf_dir), src.COST_YEARS)
+    matrix, names, _ = preprocess_pipeline(calls(spark, sf_dir, grouped=True), src.COST_YEARS)
     cells = matrix.select(K, F.explode(F.arrays_zip("slots", "values")).alias("c"))
     cells = cells.select(K, F.col("c.slots").alias("slot"), F.col("c.values").alias("value"))
     return cells.join(names, "slot").select(K, "slot", "name", "value")

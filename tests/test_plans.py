@@ -123,3 +123,15 @@ def test_scores_keep_only_their_columns_of_the_household_table(spark, sf):
     whole, some = households(spark, sf), households(spark, sf, "household_key", "economy")
     assert some.columns == ["household_key", "economy"]
     assert sorted(some.collect()) == sorted(whole.select(*some.columns).collect())
+
+
+def test_members_of_grouped_calls_need_no_exchange_of_their_own(spark, sf):
+    """Lines lie by order after the last join, and a member is of one order."""
+    quiet = spark.newSession()
+    quiet.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plain, grouped = src.raw_calls(quiet, sf), src.raw_calls(quiet, sf, grouped=True)
+    for build in (lambda df: mb.encoded_members(df, src.COST_YEARS), lambda df: mb.cost_pivot(df, src.COST_YEARS)):
+        apart, together = build(plain), build(grouped)
+        assert plan(together).count("Exchange hashpartitioning") == plan(apart).count("Exchange hashpartitioning") - 1
+        assert together.columns == apart.columns
+        assert together.exceptAll(apart).isEmpty() and apart.exceptAll(together).isEmpty()
