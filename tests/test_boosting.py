@@ -133,3 +133,32 @@ def test_a_pass_fills_the_cores_in_whole_rounds(spark):
     assert bo._tasks(0, spark) == 1 and bo._tasks(3 << 20, spark) <= 4
     assert bo._tasks(cores * bo.TASK_BYTES, spark) == cores
     assert bo._tasks(10 * cores * bo.TASK_BYTES + 1, spark) == 11 * cores
+
+
+def test_only_the_lighter_child_is_summed_over_the_rows(data, tables, monkeypatch):
+    """The rows of a level hand over one node of a split at most; margins follow the kept rows."""
+    x, *_ = data
+    df = tables.withColumn("label", F.col("y"))
+    whole = bo.fit_boosted([df], "k", PLAIN, 1, True)[0]
+    monkeypatch.setattr(bo, "REKEEP", 1)
+    seen, grown = [], bo._histograms
+
+    def counted(blocks, trees, growing, columns, level, logistic, s, draw, above, width):
+        real = type(blocks).mapPartitions
+
+        def spied(self, f, *a, **b):
+            lines = real(self, f, *a, **b)
+            seen.append((level, sum(above[k][0, 0].any() for k in above), len({i for i, _ in lines.collect()})))
+            return lines
+
+        monkeypatch.setattr(type(blocks), "mapPartitions", spied)
+        try:
+            return grown(blocks, trees, growing, columns, level, logistic, s, draw, above, width)
+        finally:
+            monkeypatch.setattr(type(blocks), "mapPartitions", real)
+
+    monkeypatch.setattr(bo, "_histograms", counted)
+    again = bo.fit_boosted([df], "k", PLAIN, 1, True)[0]
+    assert again.margin(x) == pytest.approx(whole.margin(x), rel=1e-9)
+    assert seen and all(summed <= max(1, above) for _, above, summed in seen)
+    assert any(level == 2 and summed == 2 for level, _, summed in seen)
