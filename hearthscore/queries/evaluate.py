@@ -13,7 +13,8 @@ from hearthscore.operators import metrics as mt
 from hearthscore.operators import recommend as rc
 from hearthscore.operators import selection as sel
 from hearthscore.operators import split as sp
-from hearthscore.operators.members import cost_pivot
+from hearthscore.operators.household import household_rollup
+from hearthscore.operators.members import cost_pivot, members_by_household
 from hearthscore.queries.catalog import calls, households, plain, query
 from hearthscore.queries.explore import histogram_sql
 from hearthscore.queries.oracle_base import sql
@@ -26,39 +27,50 @@ SETTINGS = Settings()
 THRESHOLD = 0.2
 
 
-def shares(spark, sf_dir):
-    """Per household: the share of its calls and of its costs by dwelling type."""
-    kept = calls(spark, sf_dir).filter(F.col("member_status").isin(*KEEP_STATUS))
-    sums = []
+def _share_sums():
+    """Number and cost of all calls, and of those of each dwelling type; no cost is null."""
+    sums = {"n": F.count(F.lit(1)), "c": F.sum("total_cost")}
     for p in DENSE:
         mine = F.lower("dwelling_type") == p
-        sums.append(F.count_if(mine).alias(f"n_{p}"))
-        sums.append(F.coalesce(F.sum(F.when(mine, F.col("total_cost"))), F.lit(0)).alias(f"c_{p}"))
-    wide = kept.groupBy("household_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("total_cost").alias("c"), *sums
-    )
+        sums[f"n_{p}"] = F.count_if(mine)
+        sums[f"c_{p}"] = F.sum(F.when(mine, F.col("total_cost")))
+    return sums
+
+
+def _shares():
     out = {}
     for p in DENSE:
         out[f"calls_{p}"] = F.col(f"n_{p}") / F.col("n")
-        out[f"cost_{p}"] = F.col(f"c_{p}").cast("double") / F.col("c").cast("double")
-    return wide.select("household_key", *[c.alias(name) for name, c in out.items()])
+        out[f"cost_{p}"] = F.coalesce(F.col(f"c_{p}"), F.lit(0)).cast("double") / F.col("c").cast("double")
+    return out
+
+
+def shares(spark, sf_dir):
+    """Per household: the share of its calls and of its costs by dwelling type."""
+    kept = calls(spark, sf_dir).filter(F.col("member_status").isin(*KEEP_STATUS))
+    wide = kept.groupBy("household_key").agg(*[c.alias(name) for name, c in _share_sums().items()])
+    return wide.select("household_key", *[c.alias(name) for name, c in _shares().items()])
 
 
 def scores(spark, sf_dir):
-    """(household, product, model, y, p): two share-based scores per product."""
-    table = households(spark, sf_dir, "household_key", *DENSE)
+    """(household, product, model, y, p): two share-based scores per product.
+
+    Flags and shares come from one pass over the calls.
+    """
+    sums, share = _share_sums(), _shares()
+    members = members_by_household(calls(spark, sf_dir, grouped=True), sums)
+    table = household_rollup(members, DENSE, list(sums)).filter("members > 0")
     rows = [
         F.struct(
             F.lit(p).alias("product"),
             F.lit(m).alias("model"),
             F.col(p).alias("y"),
-            F.col(f"{m}_{p}").alias("p"),
+            share[f"{m}_{p}"].alias("p"),
         )
         for p in DENSE
         for m in ("calls", "cost")
     ]
-    both = table.join(shares(spark, sf_dir), "household_key")
-    return stage_table(both.select("household_key", F.inline(F.array(*rows))), "scores")
+    return stage_table(table.select("household_key", F.inline(F.array(*rows))), "scores")
 
 
 def doc_scores(spark, sf_dir):

@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from hearthscore.operators import clean
 from hearthscore.operators import household as hh
 from hearthscore.operators import members as mb
@@ -116,3 +118,37 @@ def test_household_keys_once_held_as_float_survive(spark, tmp_path):
     (tmp_path / "calls.csv").write_text('Member Key,Household Key,ZIP\n1,123.0,"a ""b"""\n2,124,c\n')
     rows = scan_csv(spark, f"file://{tmp_path}/calls.csv").collect()
     assert [(r.household_key, r.zip) for r in rows] == [(123, 'a "b"'), (124, "c")]
+
+
+def test_flags_and_sums_in_one_pass_equal_the_separate_ones(spark):
+    """Members whose calls lie in several households, ties in the order, nulls; one pass over the calls."""
+    rows = [
+        ("a", 7, 1, "ACTIVE", "N", 5, 2), ("a", 7, 2, "ACTIVE", "Y", 9, 1), ("a", 7, 1, "CANCELLED", "Y", 3, 0),
+        ("b", 8, 1, "PENDING", "Y", None, 1), ("b", 8, 1, "PENDING", "N", 4, 1), ("b", 8, 2, "ACTIVE", "N", 6, 1),
+        ("c", 9, 3, "ACTIVE", "Y", 2, 4), ("c", 9, None, "ACTIVE", "N", 1, 5), ("d", 9, 4, "ACTIVE", "Y", 8, 3),
+        ("d", 9, None, "ACTIVE", "Y", 8, None), ("e", 9, 5, "CANCELLED", "Y", 8, 3),
+    ]
+    calls = spark.createDataFrame(
+        rows, "member_key string, member_group int, household_key long, member_status string, alpha_flag string,"
+        " total_cost int, file_order int"
+    ).withColumn("sc_date", F.to_date(F.lit("2015-01-01")))
+    flags = hh.household_rollup(mb.encoded_members(calls, []), ["alpha"]).select("household_key", "members", "alpha")
+    kept = clean.filter_status(calls).groupBy("household_key").agg(F.count("*").alias("n"), F.sum("total_cost").alias("c"))
+    want = flags.join(kept, "household_key")
+    sums = {"n": F.count("*"), "c": F.sum("total_cost")}
+    got = hh.household_rollup(mb.members_by_household(calls, sums), ["alpha"], ["n", "c"]).filter("members > 0")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+
+
+def test_scores_read_the_lines_once(spark, sf):
+    """Flags and shares of the scores come from the same pass over the calls."""
+    from hearthscore.queries import evaluate
+
+    plans = []
+    original, evaluate.stage_table = evaluate.stage_table, lambda df, name: plans.append(df) or df
+    try:
+        evaluate.scores(spark, sf)
+    finally:
+        evaluate.stage_table = original
+    plan = plans[-1]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
