@@ -124,15 +124,19 @@ def _binned(df: DataFrame, key: str, fit: int, base: float, edges: list[np.ndarr
     return rows.mapInArrow(cut, STATE)
 
 
+def _hashed(u: np.ndarray, draw: int) -> np.ndarray:
+    """64 bits from the row's own hash and the draw's number."""
+    z = u.astype(np.uint64) + np.uint64(draw * 0x9E3779B97F4A7C15 % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    return z ^ (z >> np.uint64(31))
+
+
 def _drawn(u: np.ndarray, draw: int, share: float) -> np.ndarray:
     """Rows of a round's sample: a hash of the row's own hash and the draw's number."""
     if share >= 1.0:
         return np.ones(len(u), dtype=bool)
-    z = u.astype(np.uint64) + np.uint64(draw * 0x9E3779B97F4A7C15 % 2**64)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
-    z ^= z >> np.uint64(31)
-    return z < np.uint64(int(share * 2**64))
+    return _hashed(u, draw) < np.uint64(int(share * 2**64))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

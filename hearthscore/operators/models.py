@@ -12,17 +12,13 @@ from functools import reduce
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.common import _py2java
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import (
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +28,8 @@ from hearthscore.operators.boosting import fit_boosted, to_spark
 from hearthscore.operators.clean import leakage_columns
 from hearthscore.operators.explore import modelable_products
 from hearthscore.operators.features import regression_target
+from hearthscore.operators.forest import fit_forests
+from hearthscore.operators.forest import to_spark as forest_to_spark
 from hearthscore.operators.matrix import feature_names, fit_matrix
 from hearthscore.operators.metrics import classification_scorecard, regression_scorecard
 from hearthscore.operators.normal import Moments, best_penalty, moments_by_fold
@@ -79,17 +77,20 @@ def _boosted(tables: Sequence[DataFrame], s: Settings) -> list[list[Transformer]
 
 
 def random_forest(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
-    return [
-        RandomForestClassifier(
-            labelCol="label",
-            weightCol="weight",
-            numTrees=s.forest.trees,
-            maxDepth=s.forest.depth,
-            minInstancesPerNode=s.forest.min_rows,
-            featureSubsetStrategy=s.forest.columns,
-            seed=s.seed,
-        ).fit(train)
-    ]
+    return _forests([train], s)[0]
+
+
+def _forests(tables: Sequence[DataFrame], s: Settings) -> list[list[Transformer]]:
+    """Forests of several products, grown in the same passes."""
+    if not tables:
+        return []
+    spark = tables[0].sparkSession
+
+    def made(fit) -> list[Transformer]:
+        return [forest_to_spark(spark, fit, s.forest, s.seed, classify=True)]
+
+    with ThreadPoolExecutor(s.fit_threads) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(made), fit_forests(tables, KEY, s.forest, s.seed, classify=True)))
 
 
 def logistic_regression(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
@@ -123,6 +124,7 @@ CLASSIFIERS: dict[str, Callable] = {
     "random_forest": random_forest,
     "logistic_regression": logistic_regression,
 }
+TOGETHER: dict[str, Callable] = {"boosted_trees": _boosted, "random_forest": _forests}  # all products at once
 
 
 def _other_products(product: str) -> SQLTransformer:
@@ -231,7 +233,7 @@ def train_all_products(
 ) -> tuple[list[Fitted], DataFrame]:
     """All classifiers of all modelable products, and their scored held-out rows.
 
-    Boosted trees of all products grow in the same passes, and meanwhile the other
+    Trees of all products grow in the same passes, and meanwhile the other
     estimators are fitted from a few driver threads: the fits are independent jobs
     and fill each other's gaps.
     """
@@ -245,8 +247,8 @@ def train_all_products(
     def prepare(product: str):
         return _prepare(table, product, products, settings)
 
-    def grow(ready: list[Prepared]) -> list[list[Transformer]]:
-        return _boosted([p.train for p in ready], settings)
+    def grow(name: str) -> list[list[Transformer]]:
+        return TOGETHER[name]([p.train for p in prepared], settings)
 
     def fit(job: tuple[Prepared, str]) -> list[Transformer]:
         p, name = job
@@ -255,18 +257,18 @@ def train_all_products(
     def score(p: Prepared):
         return _fit(p, settings, names, known[p.product])
 
-    with ThreadPoolExecutor(settings.fit_threads + 1) as pool:
+    with ThreadPoolExecutor(settings.fit_threads + len(TOGETHER)) as pool:
         made = pool.map(wrap(prepare), chosen)
         prepared = [p for p in made if p is not None]
         known: dict[str, dict] = {p.product: {} for p in prepared}
         try:
-            together = pool.submit(wrap(grow), prepared) if "boosted_trees" in names else None
-            jobs = [(p, name) for p in prepared for name in names if name != "boosted_trees"]
+            together = {name: pool.submit(wrap(grow), name) for name in names if name in TOGETHER}
+            jobs = [(p, name) for p in prepared for name in names if name not in TOGETHER]
             for (p, name), stages in zip(jobs, pool.map(wrap(fit), jobs)):
                 known[p.product][name] = stages
-            if together:
-                for p, stages in zip(prepared, together.result()):
-                    known[p.product]["boosted_trees"] = stages
+            for name, grown in together.items():
+                for p, stages in zip(prepared, grown.result()):
+                    known[p.product][name] = stages
             results = list(pool.map(wrap(score), prepared))
         finally:
             for p in prepared:
@@ -397,16 +399,9 @@ def huber(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
 
 
 def cost_forest(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
-    p = s.cost_forest
-    model = RandomForestRegressor(
-        labelCol="target",
-        numTrees=p.trees,
-        maxDepth=p.depth,
-        minInstancesPerNode=p.min_rows,
-        featureSubsetStrategy=p.columns,
-        seed=s.seed,
-    ).fit(train)
-    return [model, _to_cost("prediction")]
+    labelled = train.withColumn("label", F.col("target"))
+    fit = fit_forests([labelled], KEY, s.cost_forest, s.seed, classify=False)[0]
+    return [forest_to_spark(train.sparkSession, fit, s.cost_forest, s.seed, classify=False), _to_cost("prediction")]
 
 
 def cost_boost(train: DataFrame, s: Settings, n: int) -> list[Transformer]:
