@@ -1,5 +1,7 @@
 """Binned boosting against a plain Python version and against Spark's own."""
 
+import gc
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -162,3 +164,14 @@ def test_only_the_lighter_child_is_summed_over_the_rows(data, tables, monkeypatc
     assert again.margin(x) == pytest.approx(whole.margin(x), rel=1e-9)
     assert seen and all(summed <= max(1, above) for _, above, summed in seen)
     assert any(level == 2 and summed == 2 for level, _, summed in seen)
+
+
+def test_passes_spare_the_workers_search_for_cycles(spark):
+    """A worker searches for cycles after every task, among all modules' objects unless they are left out."""
+
+    def left(mine):
+        n = sum(1 for _ in bo.settled(mine))
+        yield n, len(gc.get_objects())
+
+    found = spark.sparkContext.parallelize(range(8), 2).mapPartitions(left).collect()
+    assert [n for n, _ in found] == [4, 4] and all(left < 10_000 for _, left in found)
