@@ -37,7 +37,7 @@ def _raw_list(columns) -> str:
 )
 def scan_csv(spark, sf_dir):
     path = scratch_path(spark, "calls-csv")
-    io.write_csv(calls(spark, sf_dir).drop("file_order"), path)
+    io.write_csv(calls(spark, sf_dir).drop("file_order"), path, compressed=True)
     return plain(io.scan_csv(spark, path).select(*_FLAGS, *MEMBER_COLUMNS, "cancel_reason"))
 
 

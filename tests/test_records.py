@@ -108,3 +108,20 @@ def test_unparsable_values_are_counted(spark, tmp_path):
     (tmp_path / "a.csv").write_text(out.getvalue())
     got = {r.column_name: r.unparsable for r in io.unparsable(spark, str(tmp_path / "a.csv")).collect()}
     assert got == {"household_key": 2, "total_cost": 1}
+
+
+def test_scan_csv_scans_compressed_files(spark, sf, tmp_path, monkeypatch):
+    from hearthscore.queries import prepare
+
+    monkeypatch.setattr(prepare, "scratch_path", lambda *_: f"{tmp_path}/calls")
+    rows = prepare.scan_csv(spark, sf).count()
+    files = list((tmp_path / "calls").glob("part-*"))
+    assert rows and files and all(f.name.endswith(".csv.gz") for f in files)
+
+
+def test_compressed_files_keep_line_breaks_quotes_and_nulls(spark, tmp_path):
+    values = [(1, ' a "b",\n\nc '), (2, None), (3, ",x\r\ny"), (4, "plain"), (4, "plain")]
+    df = spark.createDataFrame(values, "household_key long, note string").repartition(3)
+    io.write_csv(df, f"{tmp_path}/z", compressed=True)
+    got = io.scan_csv(spark, f"{tmp_path}/z", file_order=False).collect()
+    assert sorted(map(tuple, got)) == sorted(values)
