@@ -83,6 +83,13 @@ def test_links_and_components(spark):
     assert {roots[i] for i in range(41)} == {0} and roots[101] == 100
 
 
+def test_links_are_not_broadcast(spark):
+    """Every fingerprint makes 70 keys, of which Spark's estimate knows nothing."""
+    df = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.links(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_near_duplicates(odd):
     out = simhash.near_duplicates(odd.drop("id", "fp")).collect()
     assert len(out) == odd.count()
