@@ -175,3 +175,20 @@ def test_passes_spare_the_workers_search_for_cycles(spark):
 
     found = spark.sparkContext.parallelize(range(8), 2).mapPartitions(left).collect()
     assert [n for n, _ in found] == [4, 4] and all(left < 10_000 for _, left in found)
+
+
+@pytest.mark.parametrize("depth", [0, 3, 8])
+def test_rows_reach_the_node_of_a_plain_walk(depth):
+    rng = np.random.default_rng(depth)
+    tree, bins = bo.Tree.empty(depth), rng.integers(0, 32, (6, 300)).astype(np.uint8)
+    for at in range(2**depth - 1):
+        if (at == 0 or tree.column[(at - 1) // 2] >= 0) and rng.random() < 0.8:
+            tree.column[at], tree.cut[at] = rng.integers(0, 6), rng.integers(0, 31)
+    want = []
+    for row in bins.T:
+        at = 0
+        while tree.column[at] >= 0:
+            at = 2 * at + 1 + int(row[tree.column[at]] > tree.cut[at])
+        want.append(at)
+    assert tree.place(bins).tolist() == want
+    assert len(tree.column) <= 256 or tree.place(bins).dtype == np.int32

@@ -108,3 +108,44 @@ def test_a_table_without_rows_scores(spark, tables):
     df = tables.withColumn("label", F.col("y")).filter("k < 0")
     assert (fo.fit_forests([df], "k", S, 1, True)[0].column == -1).all()
     assert fo.fit_forests([], "k", S, 1, True) == []
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_sums_of_all_columns_are_those_of_drawn_ones(weighted):
+    rng = np.random.default_rng(2)
+    bins = np.array([4, 9, 1, 30])
+    w = rng.random(N) + 0.5 if weighted else np.ones(N)
+    lines = (rng.integers(0, 30, (4, N)) % bins[:, None]).astype(np.uint8)
+    b = fo.Block(0, rng.random(N), w, rng.integers(0, 2**62, N), np.zeros(N), lines)
+    column, cut = np.array([1, 3, -1, -1, -1, -1, -1]), np.array([4, 11, 0, 0, 0, 0, 0])
+    layout = fo.Layout.of(np.array([3, 4]), bins, "all", (1, 2, 2))
+    drawn = fo.Layout.of(np.array([3, 4]), bins, "1.0", (1, 2, 2))
+    assert layout.whole and not drawn.whole
+    cells = np.ascontiguousarray(lines.T).ravel()
+    for plain in (True, False):
+        got, want = (fo._sums(b, cells, (column, cut), x, 2, 7, plain) for x in (layout, drawn))
+        assert np.array_equal(got, want) and want.any()
+
+
+def test_nodes_reach_spark_as_columns_not_as_rows(spark, tables, monkeypatch):
+    df = tables.withColumn("label", F.col("y"))
+    model = fo.fit_forests([df], "k", S, 1, True)[0]
+    rows = fo._nodes(model, True).to_pylist()
+    for tree in range(S.trees):
+        mine = {r["nodeData"]["id"]: r["nodeData"] for r in rows if r["treeID"] == tree}
+        assert sorted(mine) == list(range(len(mine)))
+        open_nodes = [(0, 0)]
+        for at, i in open_nodes:
+            node, c = mine.pop(i), model.column[tree, at]
+            w, wy = model.sums[tree, at, 1:3]
+            assert node["impurityStats"] == [w - wy, wy] and node["prediction"] == float(wy / w > 0.5)
+            assert node["split"]["featureIndex"] == c and (node["leftChild"] < 0) == (c < 0)
+            if c >= 0:
+                assert node["split"]["leftCategoriesOrThreshold"] == [model.edges[c][model.cut[tree, at]]]
+                assert node["gain"] == model.gain[tree, at] / w * 2
+                open_nodes += [(2 * at + 1, node["leftChild"]), (2 * at + 2, node["rightChild"])]
+        assert not mine
+    seen, made = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: seen.append(data) or made(self, data, *a, **k))
+    fo.to_spark(spark, model, S, 1, True)
+    assert max(len(d) for d in seen if isinstance(d, list)) <= S.trees
